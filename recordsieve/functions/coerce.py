@@ -34,26 +34,30 @@ def to_bigint(c: Column) -> Column:
     """Whole numbers, also written as 4.0 or 1e3; exact up to 64 bits."""
     d = to_double(c)
     whole = (d == F.floor(d)) & (F.abs(d) < F.lit(float(2**63)))
+    # The plain cast settles nearly all values; the rest is not evaluated then.
     return F.coalesce(c.try_cast("bigint"), F.when(whole, d.try_cast("bigint")))
 
 
 def to_boolean(c: Column) -> Column:
     n = number(c)
-    return F.when((c == "true") | (n == 1), F.lit(True)).when(
-        (c == "false") | (n == 0), F.lit(False)
-    )
+    other = F.when(n == 1, F.lit(True)).when(n == 0, F.lit(False))
+    return F.when(c == "true", F.lit(True)).when(c == "false", F.lit(False)).otherwise(other)
 
 
 def to_timestamp(c: Column) -> Column:
     """Epoch seconds, fractions kept."""
-    n = number(c)
-    return F.when(n.between(-EPOCH_LIMIT, EPOCH_LIMIT), F.timestamp_seconds(n))
+    n, whole = number(c), c.try_cast("bigint")
+    inside = n.between(-EPOCH_LIMIT, EPOCH_LIMIT)
+    return F.when(
+        whole.between(-EPOCH_LIMIT, EPOCH_LIMIT), F.timestamp_seconds(whole)
+    ).otherwise(F.when(inside, F.timestamp_seconds(n)))
 
 
 def to_json_text(c: Column) -> Column:
     """JSON text of a nested value; every falsy value gives the text ``null``."""
     # A plain JSON string has lost its quotes on the way in: put them back.
-    document = c.rlike(r"^[\[{]") | c.isin("true", "false") | c.rlike(NUMBER)
+    nested = c.startswith("[") | c.startswith("{")
+    document = nested | c.isin("true", "false") | c.rlike(NUMBER)
     wrapped = F.to_json(F.struct(c.alias("v")))
     quoted = F.substring(wrapped, F.lit(6), F.length(wrapped) - 6)
     return (

@@ -13,14 +13,21 @@ from pyspark.sql import functions as F
 from recordsieve.functions.coerce import FALSY_JSON, number
 
 
-def quoted(line: Column, field: str) -> Column:
-    """Whether the top-level ``field`` of a JSON line is a JSON string.
+def quoted(line: Column, field: str, text: Column) -> Column:
+    """Whether ``field`` of a JSON line, which reads as ``text``, is a string.
 
-    Lines that ``try_parse_json`` refuses (say, for a repeated key) count as
-    unquoted.
+    Read once more with the type the text suggests, a string gives NULL.
     """
-    value = F.try_variant_get(F.try_parse_json(line), f"$.{field}", "variant")
-    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
+
+    def unreadable(dtype: str) -> Column:
+        return F.from_json(line, f"struct<`{field}`:{dtype}>")[field].isNull()
+
+    return (
+        F.when(text.isin("true", "false"), unreadable("boolean"))
+        .when(text == "[]", unreadable("array<string>"))
+        .when(text == "{}", unreadable("map<string,string>"))
+        .otherwise(unreadable("double"))
+    )
 
 
 def present(c: Column) -> Column:
@@ -29,7 +36,8 @@ def present(c: Column) -> Column:
 
 def is_true(c: Column, is_quoted: Column | None = None) -> Column:
     """True for ``true`` and any spelling of the number 1."""
-    hit = F.coalesce((c == "true") | (number(c) == 1), F.lit(False))
+    hit = F.when(c.isin("true", "1"), F.lit(True)).when(c.isNull() | c.isin("false", "0"), False)
+    hit = hit.otherwise(F.coalesce(number(c) == 1, F.lit(False)))
     if is_quoted is None:
         return hit
     return F.when(hit, ~is_quoted).otherwise(False)
@@ -37,7 +45,8 @@ def is_true(c: Column, is_quoted: Column | None = None) -> Column:
 
 def truthy(c: Column, is_quoted: Column | None = None) -> Column:
     """True for all but null, false, 0, '' and empty arrays or objects."""
-    falsy = c.isin(*FALSY_JSON) | F.coalesce(number(c) == 0, F.lit(False))
+    falsy = F.when(c == "true", False).when(c.isin(*FALSY_JSON), True)
+    falsy = falsy.otherwise(F.coalesce(number(c) == 0, F.lit(False)))
     if is_quoted is None:
         return c.isNotNull() & ~falsy
     return (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from recordsieve.functions import truth
 from recordsieve.functions.text import key_of
 from recordsieve.operators.membership import flag_members
-from recordsieve.operators.parse import parse_records
+from recordsieve.operators.parse import parse_records, parse_where
 from recordsieve.specs import BAD_LINES, BOTS, DELETED_AUTHOR, OFF_TOPIC, RecordSpec, Rule
 
 
@@ -21,7 +21,7 @@ def rule_test(rule: Rule, record: str = "record", line: str | None = None) -> Co
         value = F.col(f"{record}.{field}")
         if rule.test == "present":
             return truth.present(value)
-        is_quoted = truth.quoted(F.col(line), field) if line else None
+        is_quoted = truth.quoted(F.col(line), field, value) if line else None
         return getattr(truth, rule.test)(value, is_quoted)
 
     return reduce(Column.__or__, map(one, rule.fields))
@@ -47,18 +47,23 @@ def judge(
     ``reason`` is NULL for kept lines, ``record`` only filled for them, so the
     result is small to store. ``subreddit`` is NULL for bad lines. All other
     columns are carried along; the line itself is dropped.
+
+    Every line is scanned for its two list keys. Only lines that pass the lists,
+    usually few, are parsed in full.
     """
     carried = [c for c in lines.columns if c != "line"]
-    parsed = parse_records(lines, spec.input_fields, stripped=stripped)
-    record = F.col("record")
-    subreddit = F.when(record.isNotNull(), key_of(record["subreddit"]))
-    author = F.when(record.isNotNull(), key_of(record["author"]))
+    parsed = parse_records(lines, ("subreddit", "author"), into="head", stripped=stripped)
+    head = F.col("head")
+    subreddit = F.when(head.isNotNull(), key_of(head["subreddit"]))
+    author = F.when(head.isNotNull(), key_of(head["author"]))
     flagged = flag_members(parsed, subreddit, topics, "on_topic")
     flagged = flag_members(flagged, author, bots, "is_bot")
+    on_topic, is_bot = F.col("on_topic"), F.col("is_bot") | (author == DELETED_AUTHOR)
+    flagged = parse_where(flagged, on_topic & ~is_bot, spec.input_fields)
     reason = first_reason(
-        (record.isNull(), BAD_LINES),
-        (~F.col("on_topic"), OFF_TOPIC),
-        (F.col("is_bot") | (author == DELETED_AUTHOR), BOTS),
+        (head.isNull(), BAD_LINES),
+        (~on_topic, OFF_TOPIC),
+        (is_bot, BOTS),
         *((rule_test(rule, line="line"), rule.reason) for rule in spec.rules),
     )
     judged = flagged.select(

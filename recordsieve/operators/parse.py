@@ -1,10 +1,10 @@
-"""JSON line -> record struct, strict and one parse per line."""
+"""JSON line -> record struct, strict."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordsieve.functions.text import strip
@@ -13,13 +13,22 @@ from recordsieve.specs import BAD_LINES
 _OPTIONS = {"allowSingleQuotes": "false"}
 
 
+def record_type(fields: Sequence[str]) -> str:
+    """All fields are STRING: one wrongly typed value would otherwise void the
+    whole record."""
+    return "struct<" + ",".join(f"`{name}`:string" for name in fields) + ">"
+
+
 def parse_records(
-    lines: DataFrame, fields: Sequence[str], line: str = "line", stripped: bool = False
+    lines: DataFrame,
+    fields: Sequence[str],
+    line: str = "line",
+    into: str = "record",
+    stripped: bool = False,
 ) -> DataFrame:
-    """Add ``record``, a struct of all-STRING ``fields``; NULL for a bad line.
+    """Add ``into``, a struct of STRING ``fields``; NULL for a bad line.
 
-    Every input row comes out once. All fields are STRING, because one wrongly
-    typed value would otherwise void the whole record.
+    Every input row comes out once.
 
     ``from_json`` alone ignores what follows the first value. So the line is
     put into an envelope whose end mark must be found again: the mark is a hash
@@ -32,10 +41,9 @@ def parse_records(
         lines = lines.withColumn(line, strip(F.col(line)))
     text = F.col(line)
     end = F.xxhash64(text).cast("string")
-    record = "struct<" + ",".join(f"`{name}`:string" for name in fields) + ">"
     envelope = F.from_json(
         F.concat(F.lit('{"r":['), text, F.lit('],"end":"'), end, F.lit('"}')),
-        f"struct<r:array<{record}>,end:string>",
+        f"struct<r:array<{record_type(fields)}>,end:string>",
         _OPTIONS,
     )
 
@@ -48,7 +56,16 @@ def parse_records(
         )
 
     valid = F.flatten(F.transform(F.filter(F.array(envelope), whole), lambda e: e["r"]))
-    return lines.select("*", F.explode_outer(valid).alias("record"))
+    return lines.select("*", F.explode_outer(valid).alias(into))
+
+
+def parse_where(
+    df: DataFrame, condition: Column, fields: Sequence[str], line: str = "line", into: str = "record"
+) -> DataFrame:
+    """Like ``parse_records`` for lines known to be good, only where
+    ``condition`` holds; ``into`` is NULL elsewhere and nothing is parsed."""
+    record = F.from_json(F.col(line), record_type(fields), _OPTIONS)
+    return df.select("*", F.explode_outer(F.when(condition, F.array(record))).alias(into))
 
 
 def parse_status(parsed: DataFrame) -> DataFrame:

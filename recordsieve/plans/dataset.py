@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from recordsieve.operators import stats
 from recordsieve.plans.clean import Cleaned, clean
-from recordsieve.session import work_dir
+from recordsieve.session import work_dir, written
 from recordsieve.sinks.tables import write_csv, write_parquet, write_report
 from recordsieve.sources.files import FILES, list_files
 from recordsieve.sources.zst import read_zst
@@ -78,16 +78,10 @@ def publish(
     readable = judged.join(F.broadcast(failed.select("path")), "path", "left_anti")
     good = Cleaned(readable, spec, stats.BY_FILE, null_text)
 
-    write_parquet(good.cells, f"{output}/stats/cells")
-    # The counts are small: all reports are made from the table just written,
-    # limited to the files of this run.
-    names = readable.select("base_name").distinct()
-    cells = (
-        spark.read.schema(good.cells.schema)
-        .parquet(f"{output}/stats/cells")
-        .where(F.col("kind") == spec.kind)
-        .join(names, "base_name", "left_semi")
-    )
+    # The counts of this run are small; every report is made from them.
+    cells = written(good.cells, f"{store}/cells")
+    names = cells.select("base_name").distinct()
+    write_parquet(cells, f"{output}/stats/cells")
     write_parquet(stats.totals(cells), f"{output}/stats/totals")
     write_parquet(stats.by_reason(cells, spec.reasons), f"{output}/stats/by_reason")
     write_parquet(stats.by_group(cells), f"{output}/stats/by_group")
@@ -97,8 +91,8 @@ def publish(
     kept = f"{output}/{spec.kind}/parquet"
     write_parquet(good.kept, kept)
     if csv:
-        written = spark.read.schema(good.kept.schema).parquet(kept)
-        write_csv(written.join(names, "base_name", "left_semi"), f"{output}/{spec.kind}/csv")
+        rows = spark.read.schema(good.kept.schema).parquet(kept)
+        write_csv(rows.join(names, "base_name", "left_semi"), f"{output}/{spec.kind}/csv")
     return failed
 
 

@@ -87,6 +87,7 @@ class _Reader(DataSourceReader):
     def __init__(self, options):
         self.files = json.loads(options["files"])
         self.max_window = int(options.get("maxWindow", MAX_WINDOW))
+        self.pack_bytes = int(options.get("packBytes", PACK_BYTES))
 
     def partitions(self):
         """One big file per task, small ones packed. Biggest first, so that
@@ -95,7 +96,7 @@ class _Reader(DataSourceReader):
         for path, size in sorted(self.files, key=lambda f: (-f[1], f[0])):
             if size > room:
                 packs.append([])
-                room = PACK_BYTES
+                room = self.pack_bytes
             packs[-1].append(path)
             room -= size
         return [_Files(paths) for paths in packs]
@@ -149,8 +150,10 @@ def read_zst(
     adds one row with ``error`` set and ``line`` NULL.
     """
     spark.dataSource.register(ZstLines)
+    share = sum(size for _, size in files) // spark.sparkContext.defaultParallelism
     return (
         spark.read.format(FORMAT)
+        .option("packBytes", str(min(PACK_BYTES, share)))
         .option("files", json.dumps([[p, int(s)] for p, s in files]))
         .option("maxWindow", str(max_window))
         .load()
