@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core some rows of a table that has fewer files than cores (a
+    small test table is one Parquet row group, so one task). Real tables have
+    many files and are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
 
@@ -40,7 +48,9 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("quality") == 0, F.lit("moderator")).alias("removed_by"),
         F.when(F.col("quality").isNotNull(), F.lit("labelled")).alias("distinguished"),
     )
-    return labelled(spark, sf_dir).select("doc_id", F.to_json(record).alias("line"))
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
+    rows = documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return rows.select("doc_id", F.to_json(record).alias("line"))
 
 
 def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +62,7 @@ def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("body"),
         F.col("turn").cast("string").alias("score"),
     )
-    return table(spark, sf_dir, "conversations").select(
+    return spread(table(spark, sf_dir, "conversations"), "conv_id").select(
         "conv_id", "turn", F.to_json(record).alias("line")
     )
 
@@ -69,7 +79,7 @@ def _event_lines(spark: SparkSession, sf_dir: str, *rule_fields: Column) -> Data
     )
     nested = F.when(F.col("event_id") % 5 == 0, F.lit("{}")).otherwise(F.col("props"))
     whole = F.concat(F.expr("substring(flat, 1, length(flat) - 1)"), F.lit(',"gildings":'), nested, F.lit("}"))
-    flat = table(spark, sf_dir, "events").withColumn("flat", F.to_json(record))
+    flat = spread(table(spark, sf_dir, "events"), "event_id").withColumn("flat", F.to_json(record))
     return flat.withColumn("whole", whole).select(
         "event_id",
         "event_type",

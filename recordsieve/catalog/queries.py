@@ -62,16 +62,16 @@ def lookup_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = b.table(spark, sf_dir, "conversations")
     messy = F.concat(F.lit("\t  "), F.upper("role"), F.lit("\u3000\r"))
     raw = rows.select(F.explode(F.array(messy, F.lit(" \t"))).alias("value"))
-    return clean_words(raw, F.col("value"))
+    return clean_words(raw, "value")
 
 
 @query
 def base_name(spark, sf_dir):
     pages = b.table(spark, sf_dir, "pages")
-    return pages.select(
+    return pages.selectExpr(
         "page_id",
-        text.base_name(F.concat("url", F.lit(".tar.zst"))).alias("base_name"),
-        text.base_name(F.col("url")).alias("bare_name"),
+        text.base_name("concat(url, '.tar.zst')") + " AS base_name",
+        text.base_name("url") + " AS bare_name",
     )
 
 
@@ -79,26 +79,25 @@ def base_name(spark, sf_dir):
 def topic_semi(spark, sf_dir):
     documents = b.table(spark, sf_dir, "documents").select("doc_id", "source")
     topics = word_list(spark, b.TOPICS_DOCUMENTS)
-    return keep_members(documents, text.key_of(F.col("source")), topics)
+    return keep_members(documents, text.key_of("source"), topics)
 
 
 @query
 def author_anti(spark, sf_dir):
     rows = b.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
     bots = word_list(spark, ["System", DELETED_AUTHOR])
-    return drop_members(rows, text.key_of(F.col("role")), bots)
+    return drop_members(rows, text.key_of("role"), bots)
 
 
 @query
 def pred_not_null(spark, sf_dir):
     rows = b.labelled(spark, sf_dir)
-    return rows.where(truth.present(F.col("quality")) | truth.present(F.col("toxic"))).select("doc_id")
+    return rows.where(f"{truth.present('quality')} OR {truth.present('toxic')}").select("doc_id")
 
 
 @query
 def pred_truthy(spark, sf_dir):
-    raw = F.col("toxic").cast("string")
-    return b.labelled(spark, sf_dir).where(truth.truthy(raw)).select("doc_id")
+    return b.labelled(spark, sf_dir).where(truth.truthy("CAST(toxic AS STRING)")).select("doc_id")
 
 
 # --- parse and cascade ---
@@ -113,7 +112,7 @@ def parse_records(spark, sf_dir):
 
 
 def _reasons(judged, *keys):
-    return judged.select(*keys, text.fill(F.col("reason"), "kept").alias("reason"))
+    return judged.selectExpr(*keys, text.fill("reason", "kept") + " AS reason")
 
 
 @query
@@ -166,8 +165,8 @@ def stats_report(spark, sf_dir):
 
 @query
 def flatten_text(spark, sf_dir):
-    return b.table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", text.flatten_text(F.col("text")).alias("body")
+    return b.table(spark, sf_dir, "conversations").selectExpr(
+        "conv_id", "turn", text.flatten_text("text") + " AS body"
     )
 
 
@@ -178,7 +177,8 @@ def coerce_boolean(spark, sf_dir):
         .when(F.col("toxic") == 0, F.lit("0.0"))
         .otherwise("yes")
     )
-    return b.labelled(spark, sf_dir).select("doc_id", to.to_boolean(raw).alias("over_18"))
+    rows = b.labelled(spark, sf_dir).withColumn("raw", raw)
+    return rows.selectExpr("doc_id", to.to_boolean("raw") + " AS over_18")
 
 
 @query
@@ -187,8 +187,8 @@ def coerce_numeric(spark, sf_dir):
     damaged = F.col("event_id") % 10 == 0
     whole = F.when(damaged, F.lit("1d")).otherwise(F.concat(F.lit(" "), F.col("user_id"), F.lit(".0 ")))
     real = F.when(damaged, F.lit("nan")).otherwise(F.col("value").cast("string"))
-    return events.select(
-        "event_id", to.to_bigint(whole).alias("score"), to.to_double(real).alias("upvote_ratio")
+    return events.select("event_id", whole.alias("whole"), real.alias("real")).selectExpr(
+        "event_id", to.to_bigint("whole") + " AS score", to.to_double("real") + " AS upvote_ratio"
     )
 
 
@@ -197,34 +197,34 @@ def epoch_ts(spark, sf_dir):
     orders = b.table(spark, sf_dir, "orders")
     seconds = F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).cast("string")
     raw = F.when(F.col("o_orderkey") % 10 == 0, F.lit("abc")).otherwise(F.concat(seconds, F.lit(".25")))
-    return orders.select("o_orderkey", to.to_timestamp(raw).cast("timestamp_ntz").alias("created"))
+    created = f"CAST({to.to_timestamp('raw')} AS TIMESTAMP_NTZ) AS created"
+    return orders.withColumn("raw", raw).selectExpr("o_orderkey", created)
 
 
 @query
 def json_text(spark, sf_dir):
     """From the nested field of lines that parse; bad lines have none."""
     parsed = parse(b.comment_lines(spark, sf_dir), ["gildings"])
-    return parsed.select("event_id", to.to_json_text(F.col("record.gildings")).alias("props_json"))
+    return parsed.selectExpr("event_id", to.to_json_text("record.gildings") + " AS props_json")
 
 
 @query
 def fill_defaults(spark, sf_dir):
     grade = F.when(F.col("quality") == 1, F.lit("good")).when(F.col("quality") == 0, F.lit("bad"))
     toxic = F.when(F.col("toxic") == 1, F.lit("toxic"))
-    return b.labelled(spark, sf_dir).select(
-        "doc_id",
-        text.fill(grade, "none").alias("distinguished"),
-        text.fill(toxic).alias("category"),
+    rows = b.labelled(spark, sf_dir).select("doc_id", grade.alias("grade"), toxic.alias("toxic"))
+    return rows.selectExpr(
+        "doc_id", text.fill("grade", "none") + " AS distinguished", text.fill("toxic") + " AS category"
     )
 
 
 @query
 def null_audit(spark, sf_dir):
-    events = b.table(spark, sf_dir, "events")
     raw = F.when(F.col("event_id") % 10 == 0, F.lit("x")).otherwise(F.col("user_id").cast("string"))
-    score = audit_nulls(events, {"score": (raw, to.to_bigint(raw))})
-    flag = F.col("quality").cast("string")
-    quality = audit_nulls(b.labelled(spark, sf_dir), {"quality": (flag, to.to_boolean(flag))})
+    events = b.table(spark, sf_dir, "events").select(raw.alias("raw"))
+    score = audit_nulls(events, {"score": ("raw", to.to_bigint("raw"))})
+    flags = b.labelled(spark, sf_dir).select(F.col("quality").cast("string"))
+    quality = audit_nulls(flags, {"quality": ("quality", to.to_boolean("quality"))})
     return score.unionByName(quality)
 
 

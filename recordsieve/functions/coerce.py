@@ -6,62 +6,63 @@ arrive as their text, JSON strings without quotes, nested values as JSON text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from recordsieve.functions.text import literal
 
 # Spark's own casts also take '1d', '1f', 'nan' and 'inf', so guard them.
-NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_SPACE = "[ \t\n\x0b\f\r]*"
+NUMBER = literal(f"^{_SPACE}[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?{_SPACE}$")
 
 # Seconds that fit a 64-bit nanosecond clock (years 1677-2262).
 EPOCH_LIMIT = 9223372036
 
 # JSON texts of falsy values.
-FALSY_JSON = ("", "0", "-0", "0.0", "-0.0", "false", "[]", "{}")
+FALSY_JSON = "('', '0', '-0', '0.0', '-0.0', 'false', '[]', '{}')"
 
 
-def number(c: Column) -> Column:
+def number(c: str) -> str:
     """Numeric text as DOUBLE."""
-    return F.when(c.rlike(NUMBER), c.try_cast("double"))
+    return f"CASE WHEN {c} RLIKE {NUMBER} THEN try_cast({c} AS DOUBLE) END"
 
 
-def to_double(c: Column) -> Column:
-    return (
-        F.when(c == "true", F.lit(1.0)).when(c == "false", F.lit(0.0)).otherwise(number(c))
-    )
+def to_double(c: str) -> str:
+    return f"CASE {c} WHEN 'true' THEN 1D WHEN 'false' THEN 0D ELSE {number(c)} END"
 
 
-def to_bigint(c: Column) -> Column:
+def to_bigint(c: str) -> str:
     """Whole numbers, also written as 4.0 or 1e3; exact up to 64 bits."""
-    d = to_double(c)
-    whole = (d == F.floor(d)) & (F.abs(d) < F.lit(float(2**63)))
     # The plain cast settles nearly all values; the rest is not evaluated then.
-    return F.coalesce(c.try_cast("bigint"), F.when(whole, d.try_cast("bigint")))
+    d = f"({to_double(c)})"
+    return (
+        f"coalesce(try_cast({c} AS BIGINT),"
+        f" CASE WHEN {d} = floor({d}) AND abs({d}) < 9.2233720368547758E18D"
+        f" THEN try_cast({d} AS BIGINT) END)"
+    )
 
 
-def to_boolean(c: Column) -> Column:
-    n = number(c)
-    other = F.when(n == 1, F.lit(True)).when(n == 0, F.lit(False))
-    return F.when(c == "true", F.lit(True)).when(c == "false", F.lit(False)).otherwise(other)
+def to_boolean(c: str) -> str:
+    return (
+        f"CASE {c} WHEN 'true' THEN true WHEN 'false' THEN false"
+        f" ELSE CASE ({number(c)}) WHEN 1D THEN true WHEN 0D THEN false END END"
+    )
 
 
-def to_timestamp(c: Column) -> Column:
+def to_timestamp(c: str) -> str:
     """Epoch seconds, fractions kept."""
-    n, whole = number(c), c.try_cast("bigint")
-    inside = n.between(-EPOCH_LIMIT, EPOCH_LIMIT)
-    return F.when(
-        whole.between(-EPOCH_LIMIT, EPOCH_LIMIT), F.timestamp_seconds(whole)
-    ).otherwise(F.when(inside, F.timestamp_seconds(n)))
+    whole, any_number = f"try_cast({c} AS BIGINT)", f"({number(c)})"
+    limits = f"BETWEEN -{EPOCH_LIMIT} AND {EPOCH_LIMIT}"
+    return (
+        f"CASE WHEN {whole} {limits} THEN timestamp_seconds({whole})"
+        f" WHEN {any_number} {limits} THEN timestamp_seconds({any_number}) END"
+    )
 
 
-def to_json_text(c: Column) -> Column:
+def to_json_text(c: str) -> str:
     """JSON text of a nested value; every falsy value gives the text ``null``."""
     # A plain JSON string has lost its quotes on the way in: put them back.
-    nested = c.startswith("[") | c.startswith("{")
-    document = nested | c.isin("true", "false") | c.rlike(NUMBER)
-    wrapped = F.to_json(F.struct(c.alias("v")))
-    quoted = F.substring(wrapped, F.lit(6), F.length(wrapped) - 6)
+    wrapped = f"to_json(struct({c} AS v))"
     return (
-        F.when(c.isNull() | c.isin(*FALSY_JSON), F.lit("null"))
-        .when(document, c)
-        .otherwise(quoted)
+        f"CASE WHEN {c} IS NULL OR {c} IN {FALSY_JSON} THEN 'null'"
+        f" WHEN startswith({c}, '[') OR startswith({c}, '{{')"
+        f" OR {c} = 'true' OR {c} RLIKE {NUMBER} THEN {c}"
+        f" ELSE substring({wrapped}, 6, length({wrapped}) - 6) END"
     )

@@ -4,31 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def null_audit(
-    df: DataFrame, columns: Mapping[str, tuple[Column, Column]], by: Sequence[str] = ()
+    df: DataFrame, columns: Mapping[str, tuple[str, str]], by: Sequence[str] = ()
 ) -> DataFrame:
-    """``columns`` maps a name to its (raw, coerced) expressions.
+    """``columns`` maps a name to the SQL of its (raw, typed) value.
 
     One pass for all columns: two counters per column, combined per task before
     anything is shuffled. A rise of the count means values were unreadable.
     """
     counters = []
-    for name, (raw, out) in columns.items():
-        counters.append(F.count_if(raw.isNull()).alias(f"{name}__before"))
-        counters.append(F.count_if(out.isNull()).alias(f"{name}__after"))
-    wide = df.groupBy(*by).agg(*counters)
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(name).alias("col"),
-                F.col(f"{name}__before").alias("nulls_before"),
-                F.col(f"{name}__after").alias("nulls_after"),
-            )
-            for name in columns
-        )
+    for name, (raw, typed) in columns.items():
+        counters.append(F.expr(f"count_if(({raw}) IS NULL) AS `{name}__before`"))
+        counters.append(F.expr(f"count_if(({typed}) IS NULL) AS `{name}__after`"))
+    rows = ", ".join(
+        f"struct('{name}' AS col, `{name}__before` AS nulls_before, `{name}__after` AS nulls_after)"
+        for name in columns
     )
-    return wide.select(*by, F.inline(rows))
+    return df.groupBy(*by).agg(*counters).selectExpr(*by, f"inline(array({rows}))")

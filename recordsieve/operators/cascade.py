@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordsieve.functions import truth
@@ -14,25 +12,22 @@ from recordsieve.operators.parse import parse_records, parse_where
 from recordsieve.specs import BAD_LINES, BOTS, DELETED_AUTHOR, OFF_TOPIC, RecordSpec, Rule
 
 
-def rule_test(rule: Rule, record: str = "record", line: str | None = None) -> Column:
-    """Column for one rule. With ``line``, quoted look-alikes are told apart."""
+def rule_test(rule: Rule, source: str = "record", line: str | None = None) -> str:
+    """SQL test of one rule. With ``line``, quoted look-alikes are told apart."""
 
-    def one(field: str) -> Column:
-        value = F.col(f"{record}.{field}")
+    def one(field: str) -> str:
+        value = f"{source}.`{field}`" if source else f"`{field}`"
         if rule.test == "present":
             return truth.present(value)
-        is_quoted = truth.quoted(F.col(line), field, value) if line else None
-        return getattr(truth, rule.test)(value, is_quoted)
+        test = getattr(truth, rule.test)
+        return test(value, truth.quoted(line, field, value)) if line else test(value)
 
-    return reduce(Column.__or__, map(one, rule.fields))
+    return " OR ".join(f"({one(field)})" for field in rule.fields)
 
 
-def first_reason(*arms: tuple[Column, str]) -> Column:
+def first_reason(arms: list[tuple[str, str]]) -> str:
     """CASE over (test, reason) pairs; NULL when no rule matches (kept)."""
-    case = F
-    for test, reason in arms:
-        case = case.when(test, F.lit(reason))
-    return case
+    return "CASE " + " ".join(f"WHEN {test} THEN '{reason}'" for test, reason in arms) + " END"
 
 
 def judge(
@@ -52,27 +47,25 @@ def judge(
     usually few, are parsed in full.
     """
     carried = [c for c in lines.columns if c != "line"]
-    parsed = parse_records(lines, ("subreddit", "author"), into="head", stripped=stripped)
-    head = F.col("head")
-    subreddit = F.when(head.isNotNull(), key_of(head["subreddit"]))
-    author = F.when(head.isNotNull(), key_of(head["author"]))
-    flagged = flag_members(parsed, subreddit, topics, "on_topic")
-    flagged = flag_members(flagged, author, bots, "is_bot")
-    on_topic, is_bot = F.col("on_topic"), F.col("is_bot") | (author == DELETED_AUTHOR)
-    flagged = parse_where(flagged, on_topic & ~is_bot, spec.input_fields)
-    reason = first_reason(
-        (head.isNull(), BAD_LINES),
-        (~on_topic, OFF_TOPIC),
-        (is_bot, BOTS),
-        *((rule_test(rule, line="line"), rule.reason) for rule in spec.rules),
+    keys = parse_records(lines, ("subreddit", "author"), into="head", stripped=stripped).selectExpr(
+        *carried,
+        "line",
+        "head IS NULL AS is_bad",
+        f"CASE WHEN head IS NOT NULL THEN {key_of('head.subreddit')} END AS subreddit",
+        f"CASE WHEN head IS NOT NULL THEN {key_of('head.author')} END AS author_key",
     )
-    judged = flagged.select(
-        *carried, subreddit.alias("subreddit"), reason.alias("reason"), "record"
-    )
-    return judged.withColumn(
-        "record",
-        F.when(
-            F.col("reason").isNull(),
-            F.struct(*(F.col(f"record.{name}").alias(name) for name in spec.names)),
-        ),
+    flagged = flag_members(keys, "subreddit", topics, "on_topic")
+    flagged = flag_members(flagged, "author_key", bots, "is_listed")
+    is_bot = f"(is_listed OR author_key = '{DELETED_AUTHOR}')"
+    full = parse_where(flagged, f"on_topic AND NOT {is_bot}", spec.input_fields)
+    reason = first_reason(
+        [
+            ("is_bad", BAD_LINES),
+            ("NOT on_topic", OFF_TOPIC),
+            (is_bot, BOTS),
+            *((rule_test(rule, line="line"), rule.reason) for rule in spec.rules),
+        ]
     )
+    judged = full.selectExpr(*carried, "subreddit", f"{reason} AS reason", "record")
+    kept = ", ".join(f"record.`{name}` AS `{name}`" for name in spec.names)
+    return judged.withColumn("record", F.expr(f"CASE WHEN reason IS NULL THEN struct({kept}) END"))

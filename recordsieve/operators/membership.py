@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordsieve.functions.text import WHITESPACE
@@ -22,7 +23,7 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 def word_list(spark: SparkSession, items: Iterable[str]) -> DataFrame:
     """List given in code: trimmed, lower-cased, blanks dropped, distinct."""
     words = sorted({w.strip(WHITESPACE).lower() for w in items} - {""})
-    return spark.createDataFrame([(w,) for w in words], "item string")
+    return spark.createDataFrame(pa.table({"item": pa.array(words, pa.string())}))
 
 
 def fits_broadcast(
@@ -34,11 +35,10 @@ def fits_broadcast(
 
     The limit only stops the measuring early on a huge table; no row is lost.
     """
-    sizes = [F.octet_length(F.col(c).cast("string")) for c in words.columns]
-    width = sum((F.coalesce(s, F.lit(0)) for s in sizes), F.lit(16))
+    width = " + ".join(f"coalesce(octet_length(CAST(`{c}` AS STRING)), 0)" for c in words.columns)
     n, size = (
         words.limit(max_items + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)))
+        .selectExpr("count(*)", f"coalesce(sum(16 + {width}), 0)")
         .first()
     )
     return n <= max_items and size <= max_bytes
@@ -49,19 +49,16 @@ def bounded(words: DataFrame) -> DataFrame:
     return F.broadcast(words) if fits_broadcast(words) else words
 
 
-def flag_members(df: DataFrame, key: Column, words: DataFrame, flag: str) -> DataFrame:
+def flag_members(df: DataFrame, key: str, words: DataFrame, flag: str) -> DataFrame:
     """Add boolean ``flag``: is ``key`` in the list? Keeps every row once."""
-    listed = words.select(F.col("item").alias(f"{flag}_item"))
-    return (
-        df.join(bounded(listed), key == F.col(f"{flag}_item"), "left")
-        .withColumn(flag, F.col(f"{flag}_item").isNotNull())
-        .drop(f"{flag}_item")
-    )
+    listed = bounded(words.withColumnRenamed("item", "listed_item"))
+    joined = df.join(listed, F.expr(f"{key} = listed_item"), "left")
+    return joined.selectExpr(*(f"`{c}`" for c in df.columns), f"listed_item IS NOT NULL AS {flag}")
 
 
-def keep_members(df: DataFrame, key: Column, words: DataFrame) -> DataFrame:
-    return df.join(bounded(words), key == words["item"], "left_semi")
+def keep_members(df: DataFrame, key: str, words: DataFrame) -> DataFrame:
+    return df.join(bounded(words), F.expr(f"{key} = item"), "left_semi")
 
 
-def drop_members(df: DataFrame, key: Column, words: DataFrame) -> DataFrame:
-    return df.join(bounded(words), key == words["item"], "left_anti")
+def drop_members(df: DataFrame, key: str, words: DataFrame) -> DataFrame:
+    return df.join(bounded(words), F.expr(f"{key} = item"), "left_anti")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordsieve.functions.text import strip
@@ -38,7 +38,7 @@ def parse_records(
     optimizer, so no later filter or projection can repeat the parse.
     """
     if not stripped:
-        lines = lines.withColumn(line, strip(F.col(line)))
+        lines = lines.withColumn(line, F.expr(strip(line)))
     text = F.col(line)
     end = F.xxhash64(text).cast("string")
     envelope = F.from_json(
@@ -60,12 +60,12 @@ def parse_records(
 
 
 def parse_where(
-    df: DataFrame, condition: Column, fields: Sequence[str], line: str = "line", into: str = "record"
+    df: DataFrame, condition: str, fields: Sequence[str], line: str = "line", into: str = "record"
 ) -> DataFrame:
     """Like ``parse_records`` for lines known to be good, only where
     ``condition`` holds; ``into`` is NULL elsewhere and nothing is parsed."""
     record = F.from_json(F.col(line), record_type(fields), _OPTIONS)
-    return df.select("*", F.explode_outer(F.when(condition, F.array(record))).alias(into))
+    return df.select("*", F.explode_outer(F.when(F.expr(condition), F.array(record))).alias(into))
 
 
 def parse_status(parsed: DataFrame) -> DataFrame:

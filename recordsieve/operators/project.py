@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 
 from recordsieve.functions import coerce as to
 from recordsieve.functions import text
@@ -14,6 +15,7 @@ from recordsieve.specs import (
 COERCIONS = {
     RAW: lambda c: c,
     STRING: text.fill,
+    TEXT: text.flatten_text,
     ENUM: lambda c: text.fill(c, "none"),
     TIMESTAMP: to.to_timestamp,
     BOOLEAN: to.to_boolean,
@@ -23,22 +25,24 @@ COERCIONS = {
 }
 
 
-def output_columns(spec: RecordSpec, source: str = "", null_text: str = "") -> dict[str, Column]:
-    """Output name -> expression over the raw STRING columns (or ``source.*``)."""
+def typed_columns(spec: RecordSpec, source: str = "", null_text: str = "") -> dict[str, tuple[str, str]]:
+    """Output name -> SQL of the (raw, typed) value; raw fields are STRING
+    columns, or the fields of struct ``source``."""
     out = {}
     for name, group in spec.columns:
-        raw = F.col(f"{source}.{name}" if source else name)
-        out[name] = text.flatten_text(raw, null_text) if group == TEXT else COERCIONS[group](raw)
+        raw = f"{source}.`{name}`" if source else f"`{name}`"
+        typed = text.flatten_text(raw, null_text) if group == TEXT else COERCIONS[group](raw)
+        out[name] = raw, typed
     return out
 
 
 def coerce(
-    df: DataFrame, spec: RecordSpec, source: str = "", keep: tuple[str, ...] = (), null_text: str = ""
+    df: DataFrame, spec: RecordSpec, source: str = "", keep: Sequence[str] = (), null_text: str = ""
 ) -> DataFrame:
     """Typed output of ``spec``, after the ``keep`` columns. Drops no row.
 
     ``null_text`` is what a NULL in a text column becomes: '' by default,
     'None' for what plain string conversion in Python would give.
     """
-    columns = output_columns(spec, source, null_text)
-    return df.select(*keep, *(c.alias(name) for name, c in columns.items()))
+    columns = typed_columns(spec, source, null_text)
+    return df.selectExpr(*keep, *(f"{typed} AS `{name}`" for name, (_, typed) in columns.items()))

@@ -18,12 +18,11 @@ BY_FILE = ("kind", "base_name")
 
 
 def cells(judged: DataFrame, by: Sequence[str] = BY_FILE) -> DataFrame:
-    return judged.groupBy(*by, "subreddit", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return judged.groupBy(*by, "subreddit", "reason").agg(F.expr("count(*) AS n"))
 
 
-def _total(condition=None):
-    n = F.col("n") if condition is None else F.when(condition, F.col("n"))
-    return F.coalesce(F.sum(n), F.lit(0)).cast("bigint")
+def _sum(name: str, condition: str = "true"):
+    return F.expr(f"coalesce(sum(CASE WHEN {condition} THEN n END), 0) AS `{name}`")
 
 
 def totals(cells: DataFrame, by: Sequence[str] = BY_FILE) -> DataFrame:
@@ -33,21 +32,20 @@ def totals(cells: DataFrame, by: Sequence[str] = BY_FILE) -> DataFrame:
     rows lost in coercion is therefore always 0; ``n_filtered`` is the count
     of rejected lines.
     """
-    kept = F.col("reason").isNull()
     return cells.groupBy(*by).agg(
-        _total().alias("n_read"),
-        _total(kept).alias("n_processed"),
-        _total(kept).alias("n_written"),
-        _total(~kept).alias("n_filtered"),
-        F.lit(0).cast("bigint").alias("n_filtered_legacy"),
+        _sum("n_read"),
+        _sum("n_processed", "reason IS NULL"),
+        _sum("n_written", "reason IS NULL"),
+        _sum("n_filtered", "reason IS NOT NULL"),
+        F.expr("0L AS n_filtered_legacy"),
     )
 
 
 def by_reason(cells: DataFrame, reasons: Sequence[str], by: Sequence[str] = BY_FILE) -> DataFrame:
     """Lines per reject reason, zero-filled over ``reasons``."""
-    wide = cells.groupBy(*by).agg(*(_total(F.col("reason") == r).alias(r) for r in reasons))
-    rows = F.array(*(F.struct(F.lit(r).alias("reason"), F.col(r).alias("n")) for r in reasons))
-    return wide.select(*by, F.inline(rows))
+    wide = cells.groupBy(*by).agg(*(_sum(r, f"reason = '{r}'") for r in reasons))
+    rows = ", ".join(f"struct('{r}' AS reason, `{r}` AS n)" for r in reasons)
+    return wide.selectExpr(*by, f"inline(array({rows}))")
 
 
 def by_group(cells: DataFrame, by: Sequence[str] = BY_FILE) -> DataFrame:
@@ -55,14 +53,13 @@ def by_group(cells: DataFrame, by: Sequence[str] = BY_FILE) -> DataFrame:
 
     ``n_topic`` is taken before the author and later rules.
     """
-    reason = F.col("reason")
     return (
-        cells.where(F.col("subreddit").isNotNull())
+        cells.where("subreddit IS NOT NULL")
         .groupBy(*by, "subreddit")
         .agg(
-            _total().alias("n_all"),
-            _total(reason.isNull() | (reason != OFF_TOPIC)).alias("n_topic"),
-            _total(reason.isNull()).alias("n_kept"),
+            _sum("n_all"),
+            _sum("n_topic", f"reason IS DISTINCT FROM '{OFF_TOPIC}'"),
+            _sum("n_kept", "reason IS NULL"),
         )
     )
 
@@ -73,44 +70,33 @@ def report_lines(cells: DataFrame, reasons: Sequence[str], by: Sequence[str] = B
     Sorting by section, rank (descending) and line gives the printed order.
     Subreddits are listed by count, then name.
     """
+
+    def row(section: int, line: str, rank: str = "0L") -> str:
+        return f"struct({section} AS section, {rank} AS rank, {line} AS line)"
+
     # Wording of the report.
-    read = "Total lines read: "
-    processed = "Total lines processed: "
-    kept = "Total lines kept for analysis: "
-    filtered = "Total lines filtered out: "
-    due = "Lines filtered out due to "
-    all_heading = "Subreddit counts (including filtered lines):"
-    topic_heading = "Subreddit counts (lines kept for analysis):"
-
-    def text(section, rank, *parts):
-        return F.struct(
-            F.lit(section).alias("section"),
-            (F.lit(rank) if isinstance(rank, int) else rank).cast("bigint").alias("rank"),
-            F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts)).alias("line"),
-        )
+    head = [
+        "'Total lines read: ' || n_read",
+        "'Total lines processed: ' || n_kept",
+        "'Total lines kept for analysis: ' || n_kept",
+        "'Total lines filtered out: 0'",
+        *(f"'Lines filtered out due to {r.replace('_', ' ')}: ' || `{r}`" for r in reasons),
+    ]
+    all_heading = "'Subreddit counts (including filtered lines):'"
+    topic_heading = "'Subreddit counts (lines kept for analysis):'"
 
     sums = cells.groupBy(*by).agg(
-        _total().alias("n_read"),
-        _total(F.col("reason").isNull()).alias("n_kept"),
-        *(_total(F.col("reason") == r).alias(r) for r in reasons),
-    )
-    head = F.array(
-        text(0, 0, read, F.col("n_read")),
-        text(1, 0, processed, F.col("n_kept")),
-        text(2, 0, kept, F.col("n_kept")),
-        text(3, 0, filtered, "0"),
-        *(text(4 + i, 0, due, r.replace("_", " "), ": ", F.col(r)) for i, r in enumerate(reasons)),
-        text(50, 0, ""),
-        text(51, 0, all_heading),
-        text(60, 0, ""),
-        text(61, 0, topic_heading),
-    )
-    name = F.col("subreddit")
-    groups = F.array(
-        text(52, F.col("n_all"), name, ": ", F.col("n_all")),
-        text(62, F.col("n_topic"), name, ": ", F.col("n_topic")),
+        _sum("n_read"),
+        _sum("n_kept", "reason IS NULL"),
+        *(_sum(r, f"reason = '{r}'") for r in reasons),
     )
-    listed = by_group(cells, by).select(*by, F.inline(groups))
+    fixed = [row(i, line) for i, line in enumerate(head)]
+    fixed += [row(50, "''"), row(51, all_heading), row(60, "''"), row(61, topic_heading)]
+    listed = [
+        row(52, "subreddit || ': ' || n_all", "n_all"),
+        row(62, "subreddit || ': ' || n_topic", "n_topic"),
+    ]
+    top = sums.selectExpr(*by, f"inline(array({', '.join(fixed)}))")
+    groups = by_group(cells, by).selectExpr(*by, f"inline(array({', '.join(listed)}))")
     # Off-topic groups have no line in the second list.
-    listed = listed.where((F.col("section") == 52) | (F.col("rank") > 0))
-    return sums.select(*by, F.inline(head)).unionByName(listed)
+    return top.unionByName(groups.where("section = 52 OR rank > 0"))

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from recordsieve.operators import stats
 from recordsieve.operators.audit import null_audit
 from recordsieve.operators.cascade import judge
-from recordsieve.operators.project import coerce, output_columns
+from recordsieve.operators.project import coerce, typed_columns
 from recordsieve.session import written
 from recordsieve.specs import RAW, RecordSpec
 
@@ -27,25 +27,21 @@ class Cleaned:
 
     @property
     def kept_raw(self) -> DataFrame:
-        return self.judged.where(F.col("reason").isNull())
+        return self.judged.where("reason IS NULL")
 
-    @property
+    @cached_property
     def kept(self) -> DataFrame:
         return coerce(self.kept_raw, self.spec, "record", self.by, self.null_text)
 
-    @property
+    @cached_property
     def cells(self) -> DataFrame:
         return stats.cells(self.judged, self.by)
 
     @property
     def audit(self) -> DataFrame:
-        typed = output_columns(self.spec, "record", self.null_text)
-        columns = {
-            name: (F.col(f"record.{name}"), typed[name])
-            for name, group in self.spec.columns
-            if group != RAW
-        }
-        return null_audit(self.kept_raw, columns, self.by)
+        columns = typed_columns(self.spec, "record", self.null_text)
+        coerced = {name: columns[name] for name, group in self.spec.columns if group != RAW}
+        return null_audit(self.kept_raw, coerced, self.by)
 
 
 def clean(

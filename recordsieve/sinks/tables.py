@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordsieve.operators.stats import BY_FILE
@@ -26,19 +26,14 @@ def write_parquet(df: DataFrame, path: str, by: Sequence[str] = BY_FILE) -> None
     _writer(balanced(df, by), by).option("compression", "snappy").parquet(path)
 
 
-def _csv_text(name: str, dtype: str) -> Column:
-    c = F.col(name)
+def _csv_text(name: str, dtype: str) -> str:
     if dtype == "boolean":
-        return F.when(c, F.lit("True")).when(~c, F.lit("False"))
+        return f"CASE `{name}` WHEN true THEN 'True' WHEN false THEN 'False' END AS `{name}`"
     if dtype == "timestamp":
-        utc = F.to_utc_timestamp(c, F.current_timezone())
-        fraction = F.date_format(utc, ".SSSSSS")
-        return F.concat(
-            F.date_format(utc, "yyyy-MM-dd HH:mm:ss"),
-            F.when(fraction == ".000000", F.lit("")).otherwise(fraction),
-            F.lit("+00:00"),
-        )
-    return c
+        utc = f"to_utc_timestamp(`{name}`, current_timezone())"
+        fraction = f"replace(date_format({utc}, '.SSSSSS'), '.000000', '')"
+        return f"date_format({utc}, 'yyyy-MM-dd HH:mm:ss') || {fraction} || '+00:00' AS `{name}`"
+    return f"`{name}`"
 
 
 def write_csv(df: DataFrame, path: str, by: Sequence[str] = BY_FILE) -> None:
@@ -48,7 +43,7 @@ def write_csv(df: DataFrame, path: str, by: Sequence[str] = BY_FILE) -> None:
     """
     by = tuple(by)
     shown = balanced(df, by) if by else df
-    shown = shown.select(*(_csv_text(n, t).alias(n) for n, t in shown.dtypes))
+    shown = shown.selectExpr(*(_csv_text(n, t) for n, t in shown.dtypes))
     writer = _writer(shown, by) if by else shown.write.mode("overwrite")
     writer.options(
         header=True,

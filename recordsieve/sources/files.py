@@ -34,7 +34,7 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.zst") -> DataFr
         found = found.unionByName(
             files.select(
                 F.lit(kind).alias("kind"),
-                base_name(F.col("path")).alias("base_name"),
+                F.expr(base_name("path")).alias("base_name"),
                 "path",
                 F.col("length").alias("size"),
             )
@@ -52,11 +52,11 @@ def read_text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     """One word per line: trimmed, lower-cased, blanks dropped, distinct."""
-    return clean_words(spark.read.text(path), F.col("value"))
+    return clean_words(spark.read.text(path), "value")
 
 
-def clean_words(df: DataFrame, word) -> DataFrame:
-    return df.select(F.lower(strip(word)).alias("item")).where(F.col("item") != "").distinct()
+def clean_words(df: DataFrame, word: str) -> DataFrame:
+    return df.selectExpr(f"lower({strip(word)}) AS item").where("item <> ''").distinct()
 
 
 def read_csv(

@@ -68,7 +68,7 @@ def _publisher(spec: RecordSpec, topics: DataFrame, bots: DataFrame, output: str
         spark = lines.sparkSession
         lines = lines.select(
             F.lit(spec.kind).alias("kind"),
-            base_name(F.col("path")).alias("base_name"),
+            F.expr(base_name("path")).alias("base_name"),
             "path",
             "line",
             F.lit(None).cast("string").alias("error"),
