@@ -33,7 +33,7 @@ def key_of(c: str) -> str:
 
 def flatten_newlines(c: str) -> str:
     """Each newline or carriage return becomes one space."""
-    return f"translate({c}, char(10) || char(13), '  ')"
+    return f"replace(replace({c}, char(10), ' '), char(13), ' ')"
 
 
 def fill(c: str, default: str = "") -> str:

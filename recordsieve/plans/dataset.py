@@ -10,11 +10,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordsieve.functions.text import base_name
 from recordsieve.operators import stats
+from recordsieve.operators.membership import bounded
 from recordsieve.plans.clean import Cleaned, clean
 from recordsieve.session import work_dir, written
 from recordsieve.sinks.tables import write_csv, write_parquet, write_report
-from recordsieve.sources.files import FILES, list_files
+from recordsieve.sources.files import FILES, file_sizes, list_files
 from recordsieve.sources.zst import read_zst
 from recordsieve.specs import SPECS, RecordSpec
 
@@ -53,46 +55,48 @@ def publish(
     stripped: bool = False,
     csv: bool = True,
     null_text: str = "",
+    balance: bool = False,
 ) -> DataFrame:
     """Clean the lines of some whole files and write all results.
 
     ``lines`` has (kind, base_name, path, line, error). A file with an error
-    publishes nothing and is listed in ``errors``. Returns the failed files.
+    publishes nothing and is listed in ``errors``. Give ``balance`` if the lines
+    of a file are not together. Returns the failed files.
     """
     spark = lines.sparkSession
     run_results = clean(
         lines, spec, topics, bots, stats.BY_FILE, stripped, null_text, store=f"{store}/judged"
     )
     judged = run_results.judged
-    # At most one row per input file, so always small enough to broadcast.
     failed = (
         judged.where(F.col("error").isNotNull())
         .groupBy("kind", "base_name", "path")
         .agg(F.min("error").alias("error"))
         .withColumn("run", F.lit(run))
     )
-    write_parquet(failed, f"{output}/errors", ("run", "kind"))
+    write_parquet(failed, f"{output}/errors", ("run", "kind"), balance=False)
     failed = read_table(spark, f"{output}/errors", ERRORS).where(
         (F.col("run") == run) & (F.col("kind") == spec.kind)
     )
-    readable = judged.join(F.broadcast(failed.select("path")), "path", "left_anti")
+    readable = judged.join(bounded(failed.select("path")), "path", "left_anti")
     good = Cleaned(readable, spec, stats.BY_FILE, null_text)
 
     # The counts of this run are small; every report is made from them.
     cells = written(good.cells, f"{store}/cells")
     names = cells.select("base_name").distinct()
     write_parquet(cells, f"{output}/stats/cells")
-    write_parquet(stats.totals(cells), f"{output}/stats/totals")
-    write_parquet(stats.by_reason(cells, spec.reasons), f"{output}/stats/by_reason")
+    write_parquet(stats.totals(cells), f"{output}/stats/totals", balance=False)
+    write_parquet(stats.by_reason(cells, spec.reasons), f"{output}/stats/by_reason", balance=False)
     write_parquet(stats.by_group(cells), f"{output}/stats/by_group")
     write_report(stats.report_lines(cells, spec.reasons), f"{output}/stats/report")
-    write_parquet(good.audit, f"{output}/stats/null_audit")
+    write_parquet(good.audit, f"{output}/stats/null_audit", balance=False)
 
     kept = f"{output}/{spec.kind}/parquet"
-    write_parquet(good.kept, kept)
+    write_parquet(good.kept, kept, balance=balance)
     if csv:
         rows = spark.read.schema(good.kept.schema).parquet(kept)
-        write_csv(rows.join(names, "base_name", "left_semi"), f"{output}/{spec.kind}/csv")
+        rows = rows.join(names, "base_name", "left_semi")
+        write_csv(rows, f"{output}/{spec.kind}/csv", balance=False)
     return failed
 
 
@@ -114,45 +118,75 @@ def _uneven(files: list, slots: int) -> bool:
     return len(files) < slots or max(f.size for f in files) > 4 * total / slots
 
 
-def run_dataset(
+def run_files(
     spark: SparkSession,
-    root: str,
+    spec: RecordSpec,
+    files: list,
     output: str,
     topics: DataFrame,
     bots: DataFrame,
     csv: bool = True,
     null_text: str = "",
+) -> str:
+    """Clean some files of one kind as one run and mark them done.
+
+    ``files`` are rows of ``list_files``. They are marked after all results are
+    written; a rerun after a crash replaces whatever it left. Returns the run id.
+    """
+    run = uuid.uuid4().hex
+    log.info("run %s: %d files of %s", run, len(files), spec.kind)
+    lines = read_zst(spark, [(f.path, f.size) for f in files])
+    slots = spark.sparkContext.defaultParallelism
+    uneven = _uneven(files, slots)
+    if uneven:
+        # Decompressing cannot be split, but parsing can.
+        parts = max(4 * slots, sum(f.size for f in files) // PARSE_BYTES)
+        lines = lines.repartition(parts, "path", "line_no")
+    lines = lines.selectExpr(
+        f"'{spec.kind}' AS kind", base_name("path") + " AS base_name", "path", "line", "error"
+    )
+    failed = publish(
+        lines, spec, topics, bots, output, run, work_dir(spark, f"run-{spec.kind}"),
+        stripped=True, csv=csv, null_text=null_text, balance=uneven,
+    )
+    listed = spark.createDataFrame(files, FILES)
+    done = listed.join(failed, ["kind", "base_name", "path"], "left_anti")
+    write_parquet(done.withColumn("run", F.lit(run)), f"{output}/manifest", ("run",), balance=False)
+    return run
+
+
+def process_files(
+    spark: SparkSession,
+    kind: str,
+    paths: str | list[str],
+    output: str,
+    topics: DataFrame,
+    bots: DataFrame,
+    **options,
+) -> str:
+    """Clean the given files, whether or not they have been done before."""
+    files = file_sizes(spark, paths, kind).collect()
+    return run_files(spark, SPECS[kind], files, output.rstrip("/"), topics, bots, **options)
+
+
+def run_dataset(
+    spark: SparkSession,
+    root: str,
+    output: str,
+    topics: DataFrame,
+    bots: DataFrame,
     max_batch_bytes: int | None = None,
+    **options,
 ) -> list[str]:
     """Clean all pending ``root/{comments,submissions}/*.zst`` into ``output``.
 
-    ``max_batch_bytes`` bounds the (compressed) input per round, so that a long
-    run has points to resume from. A file is marked done after all its results
-    are written; a rerun after a crash replaces whatever it left. Returns the
-    run ids.
+    ``max_batch_bytes`` bounds the (compressed) input per run, so that a long
+    job has points to resume from. Returns the run ids.
     """
     output = output.rstrip("/")
-    runs = []
     files = pending_files(spark, root, output).orderBy("kind", "base_name").collect()
-    for kind, spec in SPECS.items():
-        for batch in _batches([f for f in files if f.kind == kind], max_batch_bytes):
-            run = uuid.uuid4().hex
-            log.info("run %s: %d files of %s", run, len(batch), kind)
-            listed = spark.createDataFrame(batch, FILES)
-            lines = read_zst(spark, [(f.path, f.size) for f in batch])
-            slots = spark.sparkContext.defaultParallelism
-            if _uneven(batch, slots):
-                # Decompressing cannot be split, but parsing can.
-                parts = max(4 * slots, sum(f.size for f in batch) // PARSE_BYTES)
-                lines = lines.repartition(parts, "path", "line_no")
-            lines = lines.join(
-                F.broadcast(listed.select("kind", "base_name", "path")), "path"
-            )
-            failed = publish(
-                lines, spec, topics, bots, output, run, work_dir(spark, f"run-{kind}"),
-                stripped=True, csv=csv, null_text=null_text,
-            )
-            done = listed.join(failed, ["kind", "base_name", "path"], "left_anti")
-            write_parquet(done.withColumn("run", F.lit(run)), f"{output}/manifest", ("run",))
-            runs.append(run)
-    return runs
+    return [
+        run_files(spark, spec, batch, output, topics, bots, **options)
+        for kind, spec in SPECS.items()
+        for batch in _batches([f for f in files if f.kind == kind], max_batch_bytes)
+    ]

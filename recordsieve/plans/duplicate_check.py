@@ -16,6 +16,7 @@ def check_duplicates(
     there are any."""
     rows = read_csv(spark, csv_path, schema)
     summary = duplicate_summary(rows, id_column)
-    if summary.first()["dup_rows"] > 0:
+    counts = summary.first()
+    if counts["dup_rows"] > 0:
         write_csv(duplicate_rows(rows, id_column), output, by=())
-    return summary
+    return spark.createDataFrame([counts], summary.schema)

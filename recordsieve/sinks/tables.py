@@ -22,8 +22,13 @@ def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *(F.col(c) for c in by))
 
 
-def write_parquet(df: DataFrame, path: str, by: Sequence[str] = BY_FILE) -> None:
-    _writer(balanced(df, by), by).option("compression", "snappy").parquet(path)
+def write_parquet(
+    df: DataFrame, path: str, by: Sequence[str] = BY_FILE, balance: bool = True
+) -> None:
+    """``balance=False`` saves a shuffle for small tables or rows already
+    grouped by ``by``."""
+    rows = balanced(df, by) if balance else df
+    _writer(rows, by).option("compression", "snappy").parquet(path)
 
 
 def _csv_text(name: str, dtype: str) -> str:
@@ -36,13 +41,15 @@ def _csv_text(name: str, dtype: str) -> str:
     return f"`{name}`"
 
 
-def write_csv(df: DataFrame, path: str, by: Sequence[str] = BY_FILE) -> None:
+def write_csv(
+    df: DataFrame, path: str, by: Sequence[str] = BY_FILE, balance: bool = True
+) -> None:
     """CSV with a header per part file, quotes only where needed.
 
     NULL and '' both come out empty. Spaces at the ends of values are kept.
     """
     by = tuple(by)
-    shown = balanced(df, by) if by else df
+    shown = balanced(df, by) if by and balance else df
     shown = shown.selectExpr(*(_csv_text(n, t) for n, t in shown.dtypes))
     writer = _writer(shown, by) if by else shown.write.mode("overwrite")
     writer.options(

@@ -16,6 +16,14 @@ log = logging.getLogger(__name__)
 FILES = "kind string, base_name string, path string, size bigint"
 
 
+def file_sizes(
+    spark: SparkSession, paths: str | list[str], kind: str, pattern: str = "*"
+) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths)
+    name = base_name("path") + " AS base_name"
+    return files.selectExpr(f"'{kind}' AS kind", name, "path", "length AS size")
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*.zst") -> DataFrame:
     """Dump files under ``root/<kind>/``: (kind, base_name, path, size).
 
@@ -25,20 +33,13 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.zst") -> DataFr
     for kind in SPECS:
         folder = f"{root.rstrip('/')}/{kind}"
         try:
-            files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+            files = file_sizes(spark, folder, kind, pattern)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             log.warning("no folder %s", folder)
             continue
-        found = found.unionByName(
-            files.select(
-                F.lit(kind).alias("kind"),
-                F.expr(base_name("path")).alias("base_name"),
-                "path",
-                F.col("length").alias("size"),
-            )
-        )
+        found = found.unionByName(files)
     return found
 
 

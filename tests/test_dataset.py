@@ -5,6 +5,7 @@ import json
 import pytest
 
 from helpers import lists, pack, sorted_rows
+from recordsieve.__main__ import main
 from recordsieve.plans import dataset
 from recordsieve.plans.dataset import run_dataset
 from recordsieve.sources.files import read_csv
@@ -68,10 +69,10 @@ def test_crash_before_the_manifest(spark, tree, monkeypatch):
     root, out = str(tree / "in"), str(tree / "out")
     write = dataset.write_parquet
 
-    def crash(df, path, *args):
+    def crash(df, path, *args, **options):
         if path.endswith("manifest"):
             raise RuntimeError("lost")
-        write(df, path, *args)
+        write(df, path, *args, **options)
 
     monkeypatch.setattr(dataset, "write_parquet", crash)
     with pytest.raises(RuntimeError):
@@ -93,3 +94,17 @@ def test_streaming_agrees(spark, tree):
     assert kept_ids(spark, out) == ["1", "3", "5", "6"]
     totals = spark.read.parquet(f"{out}/stats/totals")
     assert totals.count() == 4 and totals.agg({"n_read": "sum"}).first()[0] == 7
+
+
+def test_given_files_as_a_job(spark, tree, monkeypatch):
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    (tree / "topics.txt").write_text("ROBOTICS\n")
+    (tree / "bots.txt").write_text("\n")
+    out = str(tree / "out")
+    lists = [str(tree / "topics.txt"), str(tree / "bots.txt")]
+    for _ in range(2):
+        main(["files", "comments", out, *lists, str(tree / "in/comments/RC_1.zst")])
+    got = read_csv(spark, f"{out}/comments/csv")
+    assert [r.id for r in got.collect()] == ["1"]
+    main(["duplicates", f"{out}/comments/csv", str(tree / "found"), "--id-column", "id"])
+    assert not (tree / "found").exists()
