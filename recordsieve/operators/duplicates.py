@@ -51,7 +51,7 @@ def rows_with_keys(df: DataFrame, keys: DataFrame, key: Column, small: bool) ->
     if small:
         return semi(df, F.broadcast(keys.select("key")))
     # Fewer than MAX_HOT_KEYS keys can exceed this share of the rows.
-    share = keys.agg(F.sum("n")).first()[0] // MAX_HOT_KEYS
+    share = (keys.agg(F.sum("n")).first()[0] or 0) // MAX_HOT_KEYS
     hot = F.broadcast(keys.where(F.col("n") > share).select("key"))
     cold = keys.where(F.col("n") <= share).select("key")
     return semi(df, hot).unionByName(semi(semi(df, hot, "left_anti"), cold))

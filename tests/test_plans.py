@@ -49,6 +49,12 @@ def test_scans_are_pruned(spark):
     assert "ReadSchema: struct<text:string>" in physical_plan(REGISTRY["dup_summary"](spark, SF))
 
 
+def test_copies_are_combined_before_the_shuffle(spark):
+    plan = physical_plan(REGISTRY["dedup_keep_first"](spark, SF))
+    assert "partial_min_by" in plan and "Window" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_list_beyond_the_bound_is_not_broadcast_by_us(spark, monkeypatch):
     monkeypatch.setattr(membership, "fits_broadcast", lambda words: False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
