@@ -57,6 +57,25 @@ _report_sums = " UNION ALL ".join(
     for r in REPORT_REASONS
 )
 
+# What becomes of the comment columns: in every line, absent but with a default,
+# absent and left NULL.
+GIVEN = "author subreddit controversiality gildings"
+FILLED = """
+    body unrepliable_reason collapsed_reason collapsed_reason_code associated_award all_awardings awarders
+    mod_reports user_reports report_reasons distinguished permalink author_fullname name approved_by"""
+EMPTY = """
+    created_utc retrieved_on approved_at_utc banned_at_utc author_premium author_is_blocked stickied
+    score_hidden collapsed no_follow can_gild can_mod_post is_submitter send_replies archived locked saved
+    author_patreon_flair likes ups downs total_awards_received num_reports gilded"""
+
+
+def _audit_rows(columns, before, after):
+    return " ".join(
+        f"UNION ALL SELECT 'comments', '{c}', {before}, {after} FROM kept"
+        for c in columns.split()
+    )
+
+
 ORACLE = {
     "lookup_list": "SELECT DISTINCT lower(trim(role)) AS item FROM conversations WHERE trim(role) <> ''",
     "base_name": f"""
@@ -140,10 +159,9 @@ ORACLE = {
         WITH kept AS (SELECT * FROM {COMMENTS} WHERE reason = 'kept')
         SELECT 'comments' AS kind, 'score' AS col, CAST(0 AS BIGINT) AS nulls_before,
                count(CASE WHEN event_id % 10 = 0 THEN 1 END) AS nulls_after FROM kept
-        UNION ALL SELECT 'comments', 'controversiality', 0, 0
-        UNION ALL SELECT 'comments', 'gildings', 0, 0
-        UNION ALL SELECT 'comments', 'body', count(*), 0 FROM kept
-        UNION ALL SELECT 'comments', 'locked', count(*), count(*) FROM kept""",
+        {_audit_rows(GIVEN, '0 * count(*)', '0')}
+        {_audit_rows(FILLED, 'count(*)', '0')}
+        {_audit_rows(EMPTY, 'count(*)', 'count(*)')}""",
     "clean_submissions": f"""
         SELECT CAST(d.doc_id AS VARCHAR) AS id, d.source AS subreddit, d.lang AS author, '' AS title,
                replace(replace(d.text, chr(10), ' '), chr(13), ' ') AS selftext, d.n_chars AS score,

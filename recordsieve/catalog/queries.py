@@ -230,9 +230,8 @@ def null_audit(spark, sf_dir):
 
 @query
 def null_audit_kept(spark, sf_dir):
-    """The audit of a whole cleaning run, for its columns that hold NULLs."""
-    audit = _clean_events(spark, sf_dir).audit
-    return audit.where(F.col("col").isin("score", "controversiality", "gildings", "body", "locked"))
+    """The audit of a whole cleaning run, all coerced columns."""
+    return _clean_events(spark, sf_dir).audit
 
 
 @query

@@ -83,7 +83,6 @@ def publish(
 
     # The counts of this run are small; every report is made from them.
     cells = written(good.cells, f"{store}/cells")
-    names = cells.select("base_name").distinct()
     write_parquet(cells, f"{output}/stats/cells")
     write_parquet(stats.totals(cells), f"{output}/stats/totals", balance=False)
     write_parquet(stats.by_reason(cells, spec.reasons), f"{output}/stats/by_reason", balance=False)
@@ -95,7 +94,9 @@ def publish(
     write_parquet(good.kept, kept, balance=balance)
     if csv:
         rows = spark.read.schema(good.kept.schema).parquet(kept)
-        rows = rows.join(names, "base_name", "left_semi")
+        # The files of this run, as literals: partitions of earlier runs are not read.
+        names = [r.base_name for r in cells.select("base_name").distinct().collect()]
+        rows = rows.where(F.col("base_name").isin(names))
         write_csv(rows, f"{output}/{spec.kind}/csv", balance=False)
     return failed
 

@@ -8,6 +8,7 @@ import pytest
 from helpers import lines_df, lists
 from recordsieve.functions import coerce as to
 from recordsieve.functions import text
+from recordsieve.operators.project import coerce
 from recordsieve.plans.clean import clean
 from recordsieve.specs import COMMENTS, SUBMISSIONS
 
@@ -81,6 +82,14 @@ def test_every_comment_column(spark):
     assert all(types[name] == groups.get(group, group) for name, group in COMMENTS.columns)
 
 
+def test_coerce_flat_table(spark):
+    names = COMMENTS.names
+    df = spark.createDataFrame([("1",) * len(names)], ", ".join(f"{n} string" for n in names))
+    row = coerce(df, COMMENTS).first()
+    assert tuple(row.asDict()) == names
+    assert row["score"] == 1 and row["saved"] is True and row["body"] == "1" and row["gildings"] == "1"
+
+
 def test_null_text_parity(spark):
     line = '{"subreddit":"robotics","author":"Ann"}'
     kept = clean(lines_df(spark, [line]), SUBMISSIONS, *lists(spark), null_text="None").kept
