@@ -30,8 +30,11 @@ def open_input(path: str):
     """Input stream on any file system Arrow knows (local, hdfs, s3, gs)."""
     from pyarrow import fs
 
-    path = path.replace("s3a://", "s3://", 1)
-    system, inner = fs.FileSystem.from_uri(path)
+    if path.startswith(("file:", "/")):
+        # Listed paths are plain text, not encoded as a URI would be.
+        system, inner = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    else:
+        system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return system.open_input_stream(inner, compression=None)
 
 

@@ -24,9 +24,9 @@ def new_lines(spark: SparkSession, folder: str, pattern: str, max_files: int | N
     reader = spark.readStream.option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(folder).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")
-    )
+    # The name is percent-encoded, but with plain plus signs.
+    file = "url_decode(replace(_metadata.file_name, '+', '%2B')) AS file"
+    return reader.text(folder).selectExpr("_metadata.file_path AS path", file, "value AS line")
 
 
 def stream_dataset(
@@ -68,7 +68,7 @@ def _publisher(spec: RecordSpec, topics: DataFrame, bots: DataFrame, output: str
         spark = lines.sparkSession
         lines = lines.select(
             F.lit(spec.kind).alias("kind"),
-            F.expr(base_name("path")).alias("base_name"),
+            F.expr(base_name("file")).alias("base_name"),
             "path",
             "line",
             F.lit(None).cast("string").alias("error"),

@@ -96,6 +96,17 @@ def test_streaming_agrees(spark, tree):
     assert totals.count() == 4 and totals.agg({"n_read": "sum"}).first()[0] == 7
 
 
+def test_odd_file_names(spark, tmp_path):
+    name = "RC 1+a%20=b"
+    pack(tmp_path / f"in/comments/{name}.zst", line(1))
+    run_dataset(spark, str(tmp_path / "in"), str(tmp_path / "out"), *lists(spark))
+    stream_dataset(spark, str(tmp_path / "in"), str(tmp_path / "live"), str(tmp_path / "p"), *lists(spark))
+    for out in ("out", "live"):
+        totals = spark.read.parquet(str(tmp_path / out / "stats/totals"))
+        assert [(r.base_name, r.n_written) for r in totals.collect()] == [(name, 1)]
+        assert read_csv(spark, str(tmp_path / out / "comments/csv")).count() == 1
+
+
 def test_given_files_as_a_job(spark, tree, monkeypatch):
     monkeypatch.setattr(spark, "stop", lambda: None)
     (tree / "topics.txt").write_text("ROBOTICS\n")
