@@ -3,9 +3,11 @@
 1. Each document gets its shingle set's size and digest, its minima, and a key for each band of minima.
 2. Documents with equal sets become one class; only the class's smallest id goes on. Large groups of copies end here.
 3. Classes that share a band key form a bucket. Not all pairs of a bucket are compared: first each member with the
-   bucket's smallest; then, where a bucket still holds several components, each member with up to 16 further members;
+   bucket's smallest; then, where a bucket still holds several components, each member with up to 16 central members;
    then every pair of members that are still in different components. Pairs that are connected already need no check,
-   so no component is lost, and there is no cap on a bucket.
+   so no component is lost, and there is no cap on a bucket. From the second step on, pairs are left out that cannot
+   reach the threshold: a shingle that no other open member has is in no overlap, so the number of a member's other
+   shingles bounds it. Central members are those with the fewest such shingles, like the text that copies derive from.
 4. A pair is checked by its signatures (agreement far below the threshold rules it out), then exactly on both sets.
 
 Two sets at the threshold miss each other in all 20 bands of 4 with odds of (1 - 0.85^4)^20 = 4e-7 (0.8: 3e-5).
@@ -118,6 +120,22 @@ def verified(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, s: Settin
     return _joined(likely, sets, "items").mapInArrow(overlap, "u bigint, v bigint")
 
 
+def _common(sets: DataFrame) -> DataFrame:
+    """(doc_id, common): how many items of each set (doc_id, items) are in another set as well."""
+
+    def spread(batches):
+        for batch in batches:
+            found = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("items")]
+            if found:
+                docs = np.repeat(batch.column("doc_id").to_numpy(), [len(x) for x in found])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(docs)], ["item", "doc_id"])
+
+    rows = sets.mapInArrow(spread, "item bigint, doc_id bigint")
+    several = rows.groupBy("item").agg(F.count("*").alias("n")).where("n > 1").select("item")
+    counts = rows.join(several, "item", "left_semi").groupBy("doc_id").agg(F.count("*").alias("common"))
+    return sets.select("doc_id").join(counts, "doc_id", "left").select("doc_id", F.coalesce("common", F.lit(0)).alias("common"))
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row per row of `docs` (doc_id, text, ...).
 
@@ -144,6 +162,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     def near_size(a: str, b: str):
         return F.expr(f"100 * least({a}, {b}) >= {s.percent} * greatest({a}, {b})")
 
+    def can_link(n: str, common: str, m: str, other: str):
+        return F.expr(f"100 * least({common}, {other}) >= {s.percent} * ({n} + {m} - least({common}, {other}))")
+
     def checked(pairs: DataFrame, step: int) -> DataFrame:
         ordered = pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
         return written(verified(ordered, signatures, sets, s), f"{store}/links-{step}")
@@ -164,24 +185,30 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     links = checked(pairs.select(F.col("doc_id").alias("a"), F.col("first").alias("b")), 1)
 
     # Every member with up to 16 others in other components.
-    left = open_members(links, 2).where("doc_id <> first")
+    left = open_members(links, 2)
+    common = written(_common(sets.join(left.select("doc_id").distinct(), "doc_id", "left_semi")), f"{store}/common")
+    left = written(left.join(common, "doc_id"), f"{store}/bounded").where("doc_id <> first")
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(s.salts))
     heads = left.groupBy("bucket", salt.alias("salt")).agg(
-        F.min(F.struct("doc_id", "n", "comp")).alias("head")
-    ).select("bucket", F.col("head.doc_id").alias("head"), F.col("head.n").alias("m"), F.col("head.comp").alias("other"))
-    heads = written(heads, f"{store}/heads")
-    pairs = left.join(heads, "bucket").where((F.col("comp") != F.col("other")) & near_size("n", "m"))
+        F.min(F.struct((F.col("n") - F.col("common")).alias("own"), "doc_id", "n", "common", "comp")).alias("head")
+    )
+    heads = written(heads.select("bucket", "head"), f"{store}/heads")
+    pairs = left.join(heads, "bucket").where(
+        (F.col("comp") != F.col("head.comp")) & can_link("n", "common", "head.n", "head.common")
+    )
     links = written(
-        links.unionAll(checked(pairs.select(F.col("doc_id").alias("a"), F.col("head").alias("b")), 2)), f"{store}/links-12"
+        links.unionAll(checked(pairs.select(F.col("doc_id").alias("a"), F.col("head.doc_id").alias("b")), 2)),
+        f"{store}/links-12",
     )
 
     # Every pair that is left.
-    is_head = heads.select("bucket", F.col("head").alias("doc_id"))
+    is_head = heads.select("bucket", F.col("head.doc_id").alias("doc_id"))
     left = open_members(links, 3).where("doc_id <> first").join(is_head, ["bucket", "doc_id"], "left_anti")
-    left = written(left, f"{store}/left")
-    other = left.select("bucket", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
-    pairs = left.join(other, "bucket").where((F.col("comp") < F.col("other")) & near_size("n", "m"))
-    links = links.unionAll(checked(pairs.select(F.col("doc_id").alias("a"), "b"), 3))
+    left = written(left.join(common, "doc_id"), f"{store}/left").select("bucket", F.struct("doc_id", "n", "common", "comp").alias("x"))
+    pairs = left.join(left.withColumnRenamed("x", "y"), "bucket").where(
+        (F.col("x.comp") < F.col("y.comp")) & can_link("x.n", "x.common", "y.n", "y.common")
+    )
+    links = links.unionAll(checked(pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")), 3))
 
     found = components(links).select(F.col("node").alias("class_id"), "component")
     named = classes.join(found, "class_id", "left").select("digest", F.coalesce("component", "class_id").alias("component"))
