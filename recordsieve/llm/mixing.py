@@ -24,7 +24,7 @@ class Settings:
     weights: tuple[float, ...] = (3.0, 1.0, 2.0)
     share: float = 1.5
     most: int = 2
-    rows: int = 50_000
+    rows: int = 5_000
     seed: int = 29
 
 
