@@ -4,10 +4,15 @@
 2. Documents with equal sets become one class; only the class's smallest id goes on. Large groups of copies end here.
 3. Classes that share a band key form a bucket. Not all pairs of a bucket are compared: first each member with the
    bucket's smallest; then, where a bucket still holds several components, each member with up to 16 central members;
-   then every pair of members that are still in different components. Pairs that are connected already need no check,
-   so no component is lost, and there is no cap on a bucket. From the second step on, pairs are left out that cannot
-   reach the threshold: a shingle that no other open member has is in no overlap, so the number of a member's other
-   shingles bounds it. Central members are those with the fewest such shingles, like the text that copies derive from.
+   then members that are still in different components. Pairs that are connected already need no check, so no component
+   is lost, and there is no cap on a bucket. From the second step on, pairs are left out that cannot reach the threshold:
+   a shingle that no other open member has is in no overlap, so the number of a member's other shingles bounds it.
+   Central members are those with the fewest such shingles, like the text that copies derive from.
+   The last step divides the shingles of open members into frequent ones and rare ones (at most `rare` members have
+   them). A pair at the threshold either could reach it by frequent shingles alone, as few unconnected members of one
+   bucket can, or it shares a rare one. Then it shares one among the rarest of both: a member with n shingles, m of them
+   rare, needs r = max(1, percent of n - (n - m)) in common, so one of its m - r + 1 rarest must be common. Those are
+   joined by value, where no value has more than `rare` members.
 4. A pair is checked by its signatures (agreement far below the threshold rules it out), then exactly on both sets.
 
 Two sets at the threshold miss each other in all 20 bands of 4 with odds of (1 - 0.85^4)^20 = 4e-7 (0.8: 3e-5).
@@ -20,7 +25,7 @@ from hashlib import sha1
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordsieve.llm.components import components
@@ -39,6 +44,7 @@ class Settings:
     #: deviations of the estimate at the threshold.
     slack: float = 0.25
     salts: int = 16
+    rare: int = 64
 
 
 def described(docs: DataFrame, s: Settings) -> DataFrame:
@@ -120,8 +126,8 @@ def verified(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, s: Settin
     return _joined(likely, sets, "items").mapInArrow(overlap, "u bigint, v bigint")
 
 
-def _common(sets: DataFrame) -> DataFrame:
-    """(doc_id, common): how many items of each set (doc_id, items) are in another set as well."""
+def _rare_items(sets: DataFrame, most: int) -> DataFrame:
+    """(doc_id, item, f): the items of the sets (doc_id, items) that f sets have, f being `most` or less."""
 
     def spread(batches):
         for batch in batches:
@@ -131,9 +137,17 @@ def _common(sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(docs)], ["item", "doc_id"])
 
     rows = sets.mapInArrow(spread, "item bigint, doc_id bigint")
-    several = rows.groupBy("item").agg(F.count("*").alias("n")).where("n > 1").select("item")
-    counts = rows.join(several, "item", "left_semi").groupBy("doc_id").agg(F.count("*").alias("common"))
-    return sets.select("doc_id").join(counts, "doc_id", "left").select("doc_id", F.coalesce("common", F.lit(0)).alias("common"))
+    counts = rows.groupBy("item").agg(F.count("*").alias("f")).where(F.col("f") <= most)
+    return rows.join(counts, "item").select("doc_id", "item", "f")
+
+
+def _rarest(items: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """(item, doc_id, n, comp): of each of `docs` (doc_id, n, n_rare, comp), the rarest items, one of which any set
+    at the threshold shares that shares a rare item at all."""
+    order = Window.partitionBy("doc_id").orderBy("f", "item")
+    ranked = items.join(docs, "doc_id").withColumn("rank", F.row_number().over(order))
+    need = f"greatest(1, ({percent} * n + 99) div 100 - (n - n_rare))"
+    return ranked.where(F.expr(f"f > 1 AND rank <= n_rare - {need} + 1")).select("item", "doc_id", "n", "comp")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -153,7 +167,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     firsts = filled.join(classes, [filled.digest == classes.digest, filled.doc_id == classes.class_id], "left_semi")
     keyed = firsts.select("doc_id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")).distinct()
     shared = keyed.groupBy("bucket").agg(F.count("*").alias("members"), F.min("doc_id").alias("first"))
-    members = written(keyed.join(shared.where("members > 1"), "bucket"), f"{store}/members")
+    # Written first, as a join with an aggregate of its own other side could not split a hot bucket.
+    shared = written(shared.where("members > 1"), f"{store}/shared")
+    members = written(keyed.join(shared, "bucket"), f"{store}/members")
     wanted = members.select("doc_id").distinct()
     signatures = written(firsts.join(wanted, "doc_id", "left_semi").select("doc_id", "signature"), f"{store}/signatures")
     texts = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "text")
@@ -176,7 +192,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
             "bucket", "doc_id", "n", "first", F.coalesce("component", "doc_id").alias("comp")
         )
         spans = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        mixed = spans.where("low < high").select("bucket")
+        mixed = written(spans.where("low < high").select("bucket"), f"{store}/mixed-{step}")
         return written(named.join(mixed, "bucket", "left_semi"), f"{store}/open-{step}")
 
     # Every member with its bucket's smallest. Members that are left have been compared with it.
@@ -186,11 +202,20 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     # Every member with up to 16 others in other components.
     left = open_members(links, 2)
-    common = written(_common(sets.join(left.select("doc_id").distinct(), "doc_id", "left_semi")), f"{store}/common")
-    left = written(left.join(common, "doc_id"), f"{store}/bounded").where("doc_id <> first")
+    opened = sets.join(left.select("doc_id").distinct(), "doc_id", "left_semi")
+    rare = written(_rare_items(opened, s.rare), f"{store}/rare")
+    counts = rare.groupBy("doc_id").agg(F.count("*").alias("n_rare"), F.count_if(F.col("f") == 1).alias("own"))
+    counts = written(counts, f"{store}/counts")
+
+    def bounded(left: DataFrame) -> DataFrame:
+        """With n_rare, and how many shingles are common (to two members or more) and frequent."""
+        known = left.join(counts, "doc_id", "left").fillna(0, ["n_rare", "own"])
+        return known.withColumn("common", F.col("n") - F.col("own")).withColumn("frequent", F.col("n") - F.col("n_rare"))
+
+    left = written(bounded(left), f"{store}/bounded").where("doc_id <> first")
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(s.salts))
     heads = left.groupBy("bucket", salt.alias("salt")).agg(
-        F.min(F.struct((F.col("n") - F.col("common")).alias("own"), "doc_id", "n", "common", "comp")).alias("head")
+        F.min(F.struct("own", "doc_id", "n", "common", "comp")).alias("head")
     )
     heads = written(heads.select("bucket", "head"), f"{store}/heads")
     pairs = left.join(heads, "bucket").where(
@@ -201,14 +226,24 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         f"{store}/links-12",
     )
 
-    # Every pair that is left.
+    # Every pair that is left: those that could be alike by frequent shingles alone, and those that share a rare one.
     is_head = heads.select("bucket", F.col("head.doc_id").alias("doc_id"))
-    left = open_members(links, 3).where("doc_id <> first").join(is_head, ["bucket", "doc_id"], "left_anti")
-    left = written(left.join(common, "doc_id"), f"{store}/left").select("bucket", F.struct("doc_id", "n", "common", "comp").alias("x"))
-    pairs = left.join(left.withColumnRenamed("x", "y"), "bucket").where(
-        (F.col("x.comp") < F.col("y.comp")) & can_link("x.n", "x.common", "y.n", "y.common")
+    left = written(bounded(open_members(links, 3)), f"{store}/left")
+    alike = left.where(F.expr(f"doc_id <> first AND 100 * frequent >= {s.percent} * n"))
+    alike = alike.join(is_head, ["bucket", "doc_id"], "left_anti").select(
+        "bucket", F.struct("doc_id", "n", "frequent", "comp").alias("x")
+    )
+    pairs = alike.join(alike.withColumnRenamed("x", "y"), "bucket").where(
+        (F.col("x.comp") < F.col("y.comp")) & can_link("x.n", "x.frequent", "y.n", "y.frequent")
+    )
+    pairs = pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+    each = left.select("doc_id", "n", "n_rare", "comp").distinct()
+    first = written(_rarest(rare, each, s.percent), f"{store}/rarest").select("item", F.struct("doc_id", "n", "comp").alias("x"))
+    sharing = first.join(first.withColumnRenamed("x", "y"), "item").where(
+        (F.col("x.comp") < F.col("y.comp")) & near_size("x.n", "y.n")
     )
-    links = links.unionAll(checked(pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")), 3))
+    sharing = sharing.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+    links = links.unionAll(checked(pairs.unionAll(sharing), 3))
 
     found = components(links).select(F.col("node").alias("class_id"), "component")
     named = classes.join(found, "class_id", "left").select("digest", F.coalesce("component", "class_id").alias("component"))
