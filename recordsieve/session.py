@@ -26,3 +26,9 @@ def written(df, path: str):
     """Write ``df`` as Parquet and read it back: cuts lineage, survives executor loss."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more, on whatever file system it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
