@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordsieve.session import work_dir, written
+from recordsieve.session import remove, work_dir, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -40,6 +40,7 @@ def components(links: DataFrame, max_steps: int = 100) -> DataFrame:
     for step in range(1, max_steps + 1):
         edges = written(_small_star(_large_star(edges)), f"{store}/{step}")
         now = mark(edges)
+        remove(links.sparkSession, f"{store}/{step - 1}")
         if now == seen:
             break
         seen = now

@@ -4,6 +4,7 @@ Every coordinate has its own learning rate, and L1 keeps the weights of features
 left is a short list of (feature, weight), which is broadcast for scoring (at most 2^bits entries of 12 bytes).
 
 Training uses at most `max_rows` labelled rows, those with the smallest hash of their id; this bound is a parameter.
+They are chosen before any text is read.
 Their features are extracted in parallel. The updates are made one after the other, in hash order, by one task; it reads
 a bounded number of rows of at most 2^bits features each.
 """
@@ -72,27 +73,27 @@ class Learner:
         return (kept := np.flatnonzero(w)).astype(np.uint32), w[kept].astype(np.float64)
 
 
-def train(rows: DataFrame, features: Features, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers and weights, learned from (id, text, label).
+def train(labels: DataFrame, texts: DataFrame, features: Features, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers and weights, learned from `labels` (id, label) and `texts` (id, text).
 
-    Rows with a NULL label are left out; a NULL text is empty. Without rows, or with one label only, the score is the
-    share of label 1 (0.5 without rows) that the constant term has reached.
+    The sample is chosen from ids and labels alone; its ids, `max_rows` at most, are broadcast, and one scan of the texts
+    makes their features where they are. No text is shuffled. Rows with a NULL label or id, or an id without a text, are
+    left out; a NULL text is empty. Each labelled row is one example: an id that has several texts stands for the one
+    with the smallest hash. Without rows, or with one label only, the score is the share of label 1 (0.5 without rows)
+    that the constant term has reached.
     """
     s = settings
     order = F.xxhash64(F.col("id").cast("string"), F.lit(s.seed))
-    chosen = (
-        rows.where(F.col("label").isNotNull())
-        .select("id", "text", F.col("label").cast("int").alias("label"), order.alias("turn"))
-        .orderBy("turn", "id")
-        .limit(s.max_rows)
-    )
+    known = labels.where("label IS NOT NULL AND id IS NOT NULL").select("id", F.col("label").cast("int").alias("label"))
+    chosen = known.join(texts.select("id"), "id", "left_semi").withColumn("turn", order)
     bits = s.bits
 
     def extract(batches):
         for batch in slices(batches, "text"):
             found = [x.tobytes() for x in presence(features, batch.column("text"), bits)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("turn"), batch.column("label"), pa.array(found, pa.binary())], ["turn", "label", "found"]
+                [*(batch.column(c) for c in ("turn", "label", "number", "pick")), pa.array(found, pa.binary())],
+                ["turn", "label", "number", "pick", "found"],
             )
 
     def learn(batches):
@@ -110,23 +111,26 @@ def train(rows: DataFrame, features: Features, settings: Settings) -> tuple[np.n
             [pa.array([numbers.tobytes()]), pa.array([weights.tobytes()])], ["numbers", "weights"]
         )
 
-    store = work_dir(rows.sparkSession, "ftrl")
-    # The sample is sorted by one task, so it is dealt out again before the features are made.
-    chosen = written(chosen.repartition(16, "id"), f"{store}/sample")
-    table = written(chosen.mapInArrow(extract, "turn bigint, label int, found binary"), f"{store}/features")
+    store = work_dir(texts.sparkSession, "ftrl")
+    chosen = chosen.orderBy("turn", "id", "label").limit(s.max_rows)
+    chosen = written(chosen.withColumn("number", F.monotonically_increasing_id()), f"{store}/sample")
+    rows = texts.select("id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
+    rows = rows.select("turn", "label", "number", F.xxhash64("text").alias("pick"), "text")
+    table = rows.mapInArrow(extract, "turn bigint, label int, number bigint, pick bigint, found binary")
+    one = table.groupBy("number").agg(F.min(F.struct("pick", "turn", "label", "found")).alias("x")).select("x.*")
+    table = written(one.select("turn", "label", "found"), f"{store}/features")
     row = table.coalesce(1).mapInArrow(learn, "numbers binary, weights binary").first()
     return np.frombuffer(row.numbers, np.uint32), np.frombuffer(row.weights, np.float64)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], features: Features, bits: int, text: Column) -> DataFrame:
     """(doc_id, score) of every row; a NULL text is scored as an empty one."""
-    numbers, weights = model
-    dense = np.zeros((1 << bits) + 1, np.float32)
-    dense[numbers] = weights
-    shared = docs.sparkSession.sparkContext.broadcast(dense)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def apply(batches):
-        w = shared.value
+        numbers, weights = shared.value  # short and sparse; each task lays them out for itself
+        w = np.zeros((1 << bits) + 1, np.float32)
+        w[numbers] = weights
         for batch in slices(batches, "text"):
             hashes, sizes = features(batch.column("text"))
             spots = (hashes >> np.uint64(64 - bits)).astype(np.int64)

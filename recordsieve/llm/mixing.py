@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordsieve.llm.rows import fresh, numbered
+from recordsieve.operators.membership import bounded
 from recordsieve.session import work_dir, written
 
 
@@ -59,18 +61,19 @@ def targets(sizes: DataFrame, s: Settings) -> DataFrame:
     return filled.select("source", "source_size", "rank", target.alias("target"))
 
 
-def queued(docs: DataFrame, settings: Settings = Settings(), keep: tuple[str, ...] = ()) -> DataFrame:
-    """All rows of (doc_id, source, text, ...) as doc_id, size, source_size, target, copies, kept_0, kept_1, ...
+def queued(docs: DataFrame, settings: Settings = Settings(), row: str = "doc_id") -> DataFrame:
+    """All rows of (doc_id, source, text, ...) as doc_id, row, size, source_size, target, copies.
 
-    `copies` has the finish times of the copies that are taken; kept_i is the i-th column of `keep`.
+    `copies` has the finish times of the copies that are taken; `row` is the column `row`, to find the document by. Only
+    these thin rows are queued: texts are read for their sizes, and neither written nor shuffled.
     """
     s, spark = settings, docs.sparkSession
     store = work_dir(spark, "mixing")
     size = F.size(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
     thin = docs.select(
-        "doc_id", "source", F.when(F.col("text").isNull(), 0).otherwise(size).cast("bigint").alias("size"),
+        "doc_id", F.col(row).alias("row"), "source",
+        F.when(F.col("text").isNull(), 0).otherwise(size).cast("bigint").alias("size"),
         F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(s.seed)), 33).alias("turn"),
-        *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)],
     )
     thin = written(thin, f"{store}/sizes")
     sums = thin.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
@@ -87,7 +90,7 @@ def queued(docs: DataFrame, settings: Settings = Settings(), keep: tuple[str, ..
     offsets = written(
         own.select("rank", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset")), f"{store}/offsets"
     )
-    order = Window.partitionBy("rank", "bucket").orderBy("turn", "doc_id", "size")
+    order = Window.partitionBy("rank", "bucket").orderBy("turn", "doc_id", "size", "row")
     upto = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     queue = rows.withColumn("upto", upto).join(offsets, ["rank", "bucket"]).withColumn("upto", F.col("upto") + F.col("offset"))
     copies = F.transform(
@@ -99,16 +102,12 @@ def queued(docs: DataFrame, settings: Settings = Settings(), keep: tuple[str, ..
     )
     copies = F.when((F.col("size") > 0) & (F.col("target") > 0), copies)
     queue = written(
-        queue.select("doc_id", "size", "source_size", "target", copies.alias("copies"), *[f"kept_{i}" for i in range(len(keep))]),
-        f"{store}/queue",
+        queue.select("doc_id", "row", "size", "source_size", "target", copies.alias("copies")), f"{store}/queue"
     )
     last = _cut(queue, s)
     chosen = F.filter("copies", lambda c: F.lit(False) if last is None else c <= last)
     chosen = F.coalesce(F.transform(chosen, lambda c: c["finish"]), F.array().cast("array<double>"))
-    return queue.select(
-        "doc_id", "size", "source_size", "target", chosen.alias("copies"),
-        *[f"kept_{i}" for i in range(len(keep))],
-    )
+    return queue.select("doc_id", "row", "size", "source_size", "target", chosen.alias("copies"))
 
 
 def _cut(queue: DataFrame, s: Settings):
@@ -150,9 +149,17 @@ def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def mixture(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The mix itself: one row for each copy taken, all columns of `docs` and virtual_finish, range-sorted by it."""
+    """The mix itself: one row for each copy taken, all columns of `docs` and the time, range-sorted by it.
+
+    The time is the last column, virtual_finish (virtual_finish_2 and so on if `docs` has one of that name). Rows are
+    found again by their number: the list of copies is broadcast if it is proven small, else joined. The documents taken
+    are then shuffled once, to their ranges.
+    """
     names = docs.columns
-    rows = queued(docs, settings, tuple(names)).withColumn("virtual_finish", F.explode("copies"))
+    row, time = fresh("row", names), fresh("virtual_finish", names)
+    whole = numbered(docs, row)
+    copies = queued(whole, settings, row).where(F.size("copies") > 0)
+    taken = written(copies.select(F.col("row").alias(row), F.col("copies").alias(time)), work_dir(docs.sparkSession, "mix"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(n, "virtual_finish", "doc_id").sortWithinPartitions("virtual_finish", "doc_id")
-    return rows.select(*[F.col(f"kept_{i}").alias(c) for i, c in enumerate(names)], "virtual_finish")
+    rows = whole.join(bounded(taken), row).withColumn(time, F.explode(time))
+    return rows.repartitionByRange(n, time, row).sortWithinPartitions(time, row).select(*names, time)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from recordsieve.llm.components import components
 from recordsieve.llm.text import minima, mix, per_text, random_words, shingles, slices, words
-from recordsieve.session import work_dir, written
+from recordsieve.session import remove, work_dir, written
 
 
 @dataclass(frozen=True)
@@ -249,6 +249,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     named = classes.join(found, "class_id", "left").select("digest", F.coalesce("component", "class_id").alias("component"))
     out = table.join(named, (table.digest == named.digest) & (table.n_shingles > 0), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select(table.doc_id, "n_shingles", component.alias("component_id")).withColumn(
+    out = out.select(table.doc_id, "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+    out = written(out, work_dir(spark, "near-dups-found"))
+    remove(spark, store)
+    return out

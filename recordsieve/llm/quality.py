@@ -41,12 +41,15 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found)[order], np.bincount(owner, minlength=len(counts)).astype(np.int64)
 
 
-def quality(docs: DataFrame, labelled: DataFrame, settings: ftrl.Settings = SETTINGS) -> DataFrame:
+def quality(
+    docs: DataFrame, labelled: DataFrame, settings: ftrl.Settings = SETTINGS, texts: DataFrame | None = None
+) -> DataFrame:
     """(doc_id, score, predicted) for every row of `docs` (doc_id, text, ...).
 
-    `labelled` has (id, text, label), label 1 for good texts; at most `settings.max_rows` of them are used. Every copy
-    of a row is scored. NULL and empty texts get the score of a text without features. Other columns are not read.
+    `labelled` has (id, label) and `texts` (id, text); without `texts`, `labelled` has a column text itself. Label 1 is
+    for good texts; at most `settings.max_rows` of them are used, see `ftrl.train`. Every copy of a row is scored. NULL and
+    empty texts get the score of a text without features. Other columns are not read.
     """
-    model = ftrl.train(labelled, features, settings)
+    model = ftrl.train(labelled, labelled if texts is None else texts, features, settings)
     scored = ftrl.score(docs, model, features, settings.bits, F.col("text"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -28,10 +28,13 @@ def _remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
-def _labelled(spark: SparkSession, sf_dir: str, label: str, rule: Column) -> DataFrame:
-    """(id, text, label) of the rows whose labels may be learned from."""
-    labels = table(spark, sf_dir, "labels").where(rule).select("doc_id", F.col(label).alias("label"))
-    return table(spark, sf_dir, "documents").join(labels, "doc_id").select(F.col("doc_id").alias("id"), "text", "label")
+def _labels(spark: SparkSession, sf_dir: str, label: str, rule: Column) -> DataFrame:
+    """(id, label) of the rows whose labels may be learned from."""
+    return table(spark, sf_dir, "labels").where(rule).select(F.col("doc_id").alias("id"), F.col(label).alias("label"))
+
+
+def _by_id(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").alias("id"), "text")
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +60,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = toxicity.toxicity(docs, _labelled(spark, sf_dir, "toxic", _remainder(3) != 1))
+    scored = toxicity.toxicity(docs, _labels(spark, sf_dir, "toxic", _remainder(3) != 1), texts=_by_id(docs))
     return scored.withColumn("held_out", _remainder(3) == 1)
 
 
@@ -68,7 +71,7 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = quality.quality(docs, _labelled(spark, sf_dir, "quality", _remainder(4) != 2))
+    scored = quality.quality(docs, _labels(spark, sf_dir, "quality", _remainder(4) != 2), texts=_by_id(docs))
     return scored.withColumn("held_out", _remainder(4) == 2)
 
 
