@@ -6,17 +6,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordsieve.llm import (
+    collocations,
     decontaminate,
     fingerprints,
+    fp_search,
     mixing,
     near_dups,
     ngram_lm,
     quality,
     secrets,
     spans,
+    token_orc,
     toxicity,
     warc,
 )
+from recordsieve.llm.oracle import ORACLE
 from recordsieve.session import work_dir
 
 
@@ -88,6 +92,24 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # This tokenizer drops white space.
+    settings = token_orc.Settings(public_tokenizers.path("word_bpe_49k.json"), by_word=True, end=2)
+    return token_orc.token_store(docs, work_dir(spark, "token-orc"), settings)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fp_search.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -101,7 +123,10 @@ REGISTRY = {
         op8_substring_dedup,
         op9_decontamination,
         op10_fingerprints,
+        op11_token_orc,
+        op12_ranked_search,
+        op13_collocations,
     )
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "REGISTRY"]
