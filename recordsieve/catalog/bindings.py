@@ -7,6 +7,8 @@ decide which values a line carries (or how it is damaged); no row is left out.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,12 +119,16 @@ def submission_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_zst(lines: DataFrame, root: str, broken: tuple[str, ...] = ()) -> None:
+def write_zst(
+    lines: DataFrame, root: str, broken: tuple[str, ...] = (), wide: tuple[str, ...] = (), frame_rows: int | None = None
+) -> None:
     """Write (kind, name, line) as ``root/<kind>/<name>-<task>.zst``.
 
     Each task writes its own files, so nothing is shuffled. Files whose name is
-    in ``broken`` end inside a frame.
+    in ``broken`` end inside a frame, those in ``wide`` have a window of 2^31
+    bytes. With ``frame_rows`` a frame ends, in the middle of a line, about so often.
     """
+    run = uuid.uuid4().hex[:8]
 
     def pack(batches):
         import pandas as pd
@@ -133,14 +139,30 @@ def write_zst(lines: DataFrame, root: str, broken: tuple[str, ...] = ()) -> None
         system, base = fs.FileSystem.from_uri(root)
         task = TaskContext.get().partitionId()
         open_files = {}
+
+        def packer_of(name):
+            if name not in wide:
+                return zstandard.ZstdCompressor().compressobj()
+            params = zstandard.ZstdCompressionParameters(window_log=31, enable_ldm=True, hash_log=20, chain_log=20)
+            return zstandard.ZstdCompressor(compression_params=params).compressobj()
+
         for batch in batches:
             for (kind, name), rows in batch.groupby(["kind", "name"]):
                 if (kind, name) not in open_files:
                     system.create_dir(f"{base}/{kind}", recursive=True)
-                    out = system.open_output_stream(f"{base}/{kind}/{name}-{task:05d}.zst", compression=None)
-                    open_files[kind, name] = out, zstandard.ZstdCompressor().compressobj()
+                    out = system.open_output_stream(f"{base}/{kind}/{name}-{run}{task:05d}.zst", compression=None)
+                    open_files[kind, name] = out, packer_of(name)
                 out, packer = open_files[kind, name]
-                out.write(packer.compress("".join(f"{line}\n" for line in rows["line"]).encode()))
+                step = frame_rows or len(rows)
+                for at in range(0, len(rows), step):
+                    data = "".join(f"{line}\n" for line in rows["line"][at : at + step]).encode()
+                    cut = len(data) // 2 if frame_rows else len(data)
+                    out.write(packer.compress(data[:cut]))
+                    if frame_rows:
+                        out.write(packer.flush(zstandard.COMPRESSOBJ_FLUSH_FINISH))
+                        packer = packer_of(name)
+                        open_files[kind, name] = out, packer
+                        out.write(packer.compress(data[cut:]))
         for (kind, name), (out, packer) in open_files.items():
             mode = zstandard.COMPRESSOBJ_FLUSH_BLOCK if name in broken else zstandard.COMPRESSOBJ_FLUSH_FINISH
             out.write(packer.flush(mode))

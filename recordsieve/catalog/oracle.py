@@ -219,4 +219,19 @@ ORACLE = {
         SELECT event_type AS name, CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS n_read
         FROM events GROUP BY event_type""",
     "incremental_files": GROUPS,
+    "zst_frames": f"""
+        SELECT event_id, event_type, 'user_' || user_id AS author
+        FROM {COMMENTS} WHERE reason <> 'bad_lines'""",
+    "reclean_replaces": f"""
+        WITH judged AS (SELECT *, CAST(reason = 'kept' AND event_type = 'click' AS INT) AS again FROM {COMMENTS})
+        SELECT 'parquet' AS what, event_type AS name, CAST(sum(again) AS BIGINT) AS n FROM judged GROUP BY event_type HAVING sum(again) > 0
+        UNION ALL SELECT 'csv', event_type, CAST(sum(again) AS BIGINT) FROM judged GROUP BY event_type HAVING sum(again) > 0
+        UNION ALL SELECT 'totals', event_type, CAST(sum(again) AS BIGINT) FROM judged GROUP BY event_type
+        UNION ALL SELECT 'audit', event_type, count(*) FROM judged WHERE again = 1 AND event_id % 10 = 0 GROUP BY event_type
+        UNION ALL SELECT 'rejected', event_type, count(*) FROM judged WHERE again = 1 AND event_id % 10 = 0 GROUP BY event_type""",
+    "rejected_values": f"""
+        SELECT event_id, 'score' AS col, 'x' AS value FROM {COMMENTS} WHERE reason = 'kept' AND event_id % 10 = 0""",
+    "incremental_errors": """
+        SELECT event_type AS name, CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS n_read
+        FROM events GROUP BY event_type""",
 }

@@ -20,8 +20,9 @@ from recordsieve.operators.membership import drop_members, keep_members, word_li
 from recordsieve.operators.parse import parse_records as parse
 from recordsieve.operators.parse import parse_status
 from recordsieve.plans.clean import clean
-from recordsieve.plans.dataset import run_dataset
+from recordsieve.plans.dataset import pending_files, process_files, run_dataset
 from recordsieve.plans.duplicate_check import check_duplicates
+from recordsieve.plans.ledger import live
 from recordsieve.session import work_dir
 from recordsieve.sinks.tables import write_csv, write_parquet, write_report
 from recordsieve.sources.files import clean_words, list_files, read_csv
@@ -29,6 +30,9 @@ from recordsieve.sources.zst import read_zst
 from recordsieve.specs import COMMENTS, DELETED_AUTHOR, SUBMISSIONS
 from recordsieve.streaming.incremental import stream_dataset
 
+#: What the writer of test files appends to their names.
+FAMILY = "-[0-9a-f]+$"
+
 REGISTRY = {}
 
 
@@ -331,7 +335,7 @@ def dataset_scan(spark, sf_dir):
     files = list_files(spark, root)
     lines = read_zst(spark, [(f.path, f.size) for f in files.collect()])
     named = lines.join(F.broadcast(files.select("kind", "base_name", "path")), "path")
-    family = F.regexp_replace("base_name", "-[0-9]+$", "")
+    family = F.regexp_replace("base_name", FAMILY, "")
     return named.groupBy("kind", family.alias("name")).agg(F.count("line").alias("n"))
 
 
@@ -379,8 +383,8 @@ def dataset_run(spark, sf_dir):
 def file_errors(spark, sf_dir):
     """Files that break off publish nothing and are reported, the others go on."""
     _, output = _run(spark, sf_dir, broken=("error",))
-    family = F.regexp_replace("base_name", "-[0-9]+$", "").alias("name")
-    done = spark.read.parquet(f"{output}/stats/totals").groupBy(family).agg(F.sum("n_read").alias("n_read"))
+    family = F.regexp_replace("base_name", FAMILY, "").alias("name")
+    done = live(spark, output, "stats/totals").groupBy(family).agg(F.sum("n_read").alias("n_read"))
     failed = spark.read.parquet(f"{output}/errors").select(family, F.lit(0).cast("bigint").alias("n_read"))
     return done.unionByName(failed.distinct())
 
@@ -399,3 +403,65 @@ def incremental_files(spark, sf_dir):
     return groups.groupBy("subreddit").agg(
         F.sum("n_all").alias("n_all"), F.sum("n_topic").alias("n_topic"), F.sum("n_kept").alias("n_kept")
     )
+
+
+@query
+def zst_frames(spark, sf_dir):
+    """Files of many frames, divided among tasks at their frames, lines across the seams."""
+    root = work_dir(spark, "zst-frames")
+    b.write_zst(_named(b.comment_lines(spark, sf_dir), "comments"), root, frame_rows=100)
+    files = _files(spark, root, "comments")
+    parsed = parse(read_zst(spark, files, split_bytes=8_192), ["id", "subreddit", "author"], stripped=True)
+    return parsed.where(F.col("record").isNotNull()).select(
+        F.col("record.id").cast("bigint").alias("event_id"),
+        F.lower("record.subreddit").alias("event_type"),
+        F.lower("record.author").alias("author"),
+    )
+
+
+def _family(rows):
+    return rows.withColumn("name", F.regexp_replace("base_name", FAMILY, ""))
+
+
+@query
+def reclean_replaces(spark, sf_dir):
+    """All files cleaned, then cleaned again with a list under which most keep nothing: no result of the first is left."""
+    root, output = _run(spark, sf_dir)
+    paths = [p for p, _ in _files(spark, root, "comments")]
+    process_files(spark, "comments", paths, output, word_list(spark, ["CLICK"]), _event_lists(spark)[1])
+    everything = {
+        "parquet": live(spark, output, "comments/parquet").withColumn("n", F.lit(1)),
+        "csv": live(spark, output, "comments/csv", read_csv(spark, f"{output}/comments/csv")).withColumn("n", F.lit(1)),
+        "totals": live(spark, output, "stats/totals").withColumn("n", F.col("n_written")),
+        "audit": live(spark, output, "stats/null_audit").where("col = 'score'").withColumn("n", F.col("nulls_after")),
+        "rejected": live(spark, output, "rejected").withColumn("n", F.lit(1)),
+    }
+    parts = [
+        _family(rows).groupBy("name").agg(F.sum("n").cast("bigint").alias("n")).select(F.lit(what).alias("what"), "name", "n")
+        for what, rows in everything.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def rejected_values(spark, sf_dir):
+    """Raw values that could not be converted, as a run has set them aside while writing."""
+    _, output = _run(spark, sf_dir)
+    found = live(spark, output, "rejected")
+    return found.select(F.col("id").cast("bigint").alias("event_id"), "col", "value")
+
+
+@query
+def incremental_errors(spark, sf_dir):
+    """Two deliveries with files that break off and files with a window of 2^31: the good ones are published, later
+    calls go on, and a run over the tree finds only the bad ones left."""
+    root, output, checkpoint = (work_dir(spark, n) for n in ("arrivals", "output", "progress"))
+    lines, lists = b.comment_lines(spark, sf_dir), _event_lists(spark)
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for delivery in (0, 1, None):
+        if delivery is not None:
+            b.write_zst(_named(lines.where(half == delivery), "comments"), root, broken=("error",), wide=("click",))
+        stream_dataset(spark, root, output, checkpoint, *lists, csv=False)
+    left = pending_files(spark, root, output)
+    done = _family(live(spark, output, "stats/totals")).groupBy("name").agg(F.sum("n_read").alias("n_read"))
+    return done.unionByName(_family(left).select("name", F.lit(0).cast("bigint").alias("n_read")).distinct())

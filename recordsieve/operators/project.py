@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from recordsieve.functions import coerce as to
 from recordsieve.functions import text
@@ -46,3 +47,34 @@ def coerce(
     """
     columns = typed_columns(spec, source, null_text)
     return df.selectExpr(*keep, *(f"{typed} AS `{name}`" for name, (_, typed) in columns.items()))
+
+
+def staged(judged: DataFrame, spec: RecordSpec, null_text: str = "") -> DataFrame:
+    """Judged rows with their typed values, in the place of ``record``; each value is coerced once.
+
+    ``out`` has the typed columns (NULL for lines that are not kept), ``rejected`` the raw values that could not be
+    converted, by column, and ``missing`` a bit for each column, in the order of the spec, that had no value.
+    """
+    columns = typed_columns(spec, "record", null_text)
+    typed = ", ".join(f"{value} AS `{name}`" for name, (_, value) in columns.items())
+    # A generator's output is a plain attribute: what follows cannot repeat the coercions.
+    out = judged.select("*", F.explode(F.array(F.expr(f"CASE WHEN record IS NOT NULL THEN struct({typed}) END"))).alias("out"))
+    lost = ", ".join(
+        f"CASE WHEN {columns[name][0]} IS NOT NULL AND out.`{name}` IS NULL"
+        f" THEN struct('{name}' AS col, {columns[name][0]} AS value) END"
+        for name in spec.group(TIMESTAMP, BOOLEAN, BIGINT, DOUBLE)
+    )
+    bits = " + ".join(
+        f"CASE WHEN {raw} IS NULL THEN {1 << i}L ELSE 0L END" for i, (raw, _) in enumerate(columns.values())
+    )
+    return out.selectExpr(
+        *(f"`{c}`" for c in judged.columns if c != "record"),
+        "out",
+        f"CASE WHEN out IS NOT NULL THEN array_compact(array({lost})) END AS rejected",
+        f"CASE WHEN out IS NOT NULL THEN {bits} END AS missing",
+    )
+
+
+def rejected_values(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(..., id, col, value): the raw values of kept records that could not be converted, of ``staged`` rows."""
+    return rows.where("size(rejected) > 0").selectExpr(*keep, "out.id AS id", "inline(rejected)")

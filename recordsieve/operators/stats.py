@@ -21,6 +21,12 @@ def cells(judged: DataFrame, by: Sequence[str] = BY_FILE) -> DataFrame:
     return judged.groupBy(*by, "subreddit", "reason").agg(F.expr("count(*) AS n"))
 
 
+def seeded(cells: DataFrame, files: DataFrame, by: Sequence[str] = BY_FILE) -> DataFrame:
+    """With a count of 0 for every file, so that one without lines is in the totals, the reasons and the report."""
+    nothing = files.selectExpr(*by, "CAST(NULL AS STRING) AS subreddit", "CAST(NULL AS STRING) AS reason", "0L AS n")
+    return cells.unionByName(nothing)
+
+
 def _sum(name: str, condition: str = "true"):
     return F.expr(f"coalesce(sum(CASE WHEN {condition} THEN n END), 0) AS `{name}`")
 

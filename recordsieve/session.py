@@ -28,7 +28,20 @@ def written(df, path: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate table that nothing reads any more, on whatever file system it is."""
+def _file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more, on whatever file system it is."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    return [s.getPath().getName() for s in system.listStatus(place) if s.isDirectory()]

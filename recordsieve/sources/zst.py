@@ -77,7 +77,7 @@ def _gunzipped(raw) -> Iterator[tuple[bool, bytes]]:
             if member.eof:
                 block, member, begun = member.unused_data, zlib.decompressobj(31), False
     if begun:
-        raise frames.FrameEnd("file ends inside a gzip member")
+        raise EOFError("file ends inside a gzip member")
 
 
 def _plain(raw, at: int, end: int | None) -> Iterator[tuple[bool, bytes]]:
