@@ -234,4 +234,15 @@ ORACLE = {
     "incremental_errors": """
         SELECT event_type AS name, CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS n_read
         FROM events GROUP BY event_type""",
+    "dedup_incremental": """
+        WITH first AS (SELECT text, min(doc_id) AS doc_id FROM documents WHERE doc_id % 2 = 0 GROUP BY text),
+             later AS (SELECT text, min(doc_id) AS doc_id FROM documents
+                       WHERE doc_id % 2 = 1 AND text NOT IN (SELECT text FROM first WHERE text IS NOT NULL) GROUP BY text),
+             kept AS (SELECT doc_id, 0 AS delivery FROM first UNION ALL SELECT doc_id, 1 FROM later
+                      UNION ALL SELECT doc_id, 1 FROM later)
+        SELECT doc_id, source, delivery FROM kept JOIN documents USING (doc_id)""",
+    "dup_named_key": """
+        SELECT doc_id, source AS item, 1 AS n FROM documents
+        WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)
+          AND lower(source) IN ('src0', 'src3', 'src5', 'src8', 'src9', 'src10')""",
 }

@@ -16,6 +16,7 @@ from recordsieve.operators.cascade import judge
 from recordsieve.operators.duplicates import (
     drop_duplicates, duplicate_rows, duplicate_summary,
 )
+from recordsieve.operators.key_index import drop_seen
 from recordsieve.operators.membership import drop_members, keep_members, word_list
 from recordsieve.operators.parse import parse_records as parse
 from recordsieve.operators.parse import parse_status
@@ -465,3 +466,27 @@ def incremental_errors(spark, sf_dir):
     left = pending_files(spark, root, output)
     done = _family(live(spark, output, "stats/totals")).groupBy("name").agg(F.sum("n_read").alias("n_read"))
     return done.unionByName(_family(left).select("name", F.lit(0).cast("bigint").alias("n_read")).distinct())
+
+
+@query
+def dedup_incremental(spark, sf_dir):
+    """Documents in two deliveries, the second one twice: it drops what the first has, and nothing for its own sake."""
+    documents, index = b.table(spark, sf_dir, "documents"), work_dir(spark, "key-index")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = None
+    for delivery in (0, 1, 1):
+        rows = documents.where(F.col("doc_id") % 2 == delivery).select("doc_id", "source", "text")
+        found = drop_seen(rows, "text", index, f"delivery-{delivery}", ["doc_id"], buckets)
+        found = found.select("doc_id", "source", F.lit(delivery).alias("delivery"))
+        out = found if out is None else out.unionAll(found)
+    return out
+
+
+@query
+def dup_named_key(spark, sf_dir):
+    """Keys and lists in columns whose names the operators use themselves."""
+    rows = b.table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("text").alias("key"), F.col("source").alias("item"), F.lit(1).alias("n"), F.lit(2).alias("repeated_key")
+    )
+    found = duplicate_rows(rows, "key", long_keys=True)
+    return keep_members(found, text.key_of("item"), word_list(spark, b.TOPICS_DOCUMENTS)).select("doc_id", "item", "n")

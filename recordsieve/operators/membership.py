@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordsieve.functions.names import unused
 from recordsieve.functions.text import WHITESPACE
 
 MAX_BROADCAST_ITEMS = 1_000_000
@@ -49,16 +50,24 @@ def bounded(words: DataFrame) -> DataFrame:
     return F.broadcast(words) if fits_broadcast(words) else words
 
 
+def _renamed(df: DataFrame, words: DataFrame) -> tuple[DataFrame, str]:
+    """The list with a column name that ``df`` does not have."""
+    name = unused("listed_item", df.columns)
+    return bounded(words.withColumnRenamed("item", name)), name
+
+
 def flag_members(df: DataFrame, key: str, words: DataFrame, flag: str) -> DataFrame:
     """Add boolean ``flag``: is ``key`` in the list? Keeps every row once."""
-    listed = bounded(words.withColumnRenamed("item", "listed_item"))
-    joined = df.join(listed, F.expr(f"{key} = listed_item"), "left")
-    return joined.selectExpr(*(f"`{c}`" for c in df.columns), f"listed_item IS NOT NULL AS {flag}")
+    listed, name = _renamed(df, words)
+    joined = df.join(listed, F.expr(f"{key} = {name}"), "left")
+    return joined.selectExpr(*(f"`{c}`" for c in df.columns), f"{name} IS NOT NULL AS {flag}")
 
 
 def keep_members(df: DataFrame, key: str, words: DataFrame) -> DataFrame:
-    return df.join(bounded(words), F.expr(f"{key} = item"), "left_semi")
+    listed, name = _renamed(df, words)
+    return df.join(listed, F.expr(f"{key} = {name}"), "left_semi")
 
 
 def drop_members(df: DataFrame, key: str, words: DataFrame) -> DataFrame:
-    return df.join(bounded(words), F.expr(f"{key} = item"), "left_anti")
+    listed, name = _renamed(df, words)
+    return df.join(listed, F.expr(f"{key} = {name}"), "left_anti")
