@@ -76,6 +76,10 @@ def _audit_rows(columns, before, after):
     )
 
 
+def _constants(columns):
+    return ", ".join(f"{value} AS {name}" for value, names in columns.items() for name in names.split())
+
+
 ORACLE = {
     "lookup_list": "SELECT DISTINCT lower(trim(role)) AS item FROM conversations WHERE trim(role) <> ''",
     "base_name": f"""
@@ -245,4 +249,41 @@ ORACLE = {
         SELECT doc_id, source AS item, 1 AS n FROM documents
         WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)
           AND lower(source) IN ('src0', 'src3', 'src5', 'src8', 'src9', 'src10')""",
+    "json_typed": f"""
+        SELECT event_id, CASE event_id % 10 WHEN 0 THEN '"0"' WHEN 1 THEN '"12"' WHEN 2 THEN '"[x"' WHEN 3 THEN '"false"'
+               WHEN 4 THEN 'null' WHEN 5 THEN 'null' WHEN 6 THEN '[1,"b"]' WHEN 7 THEN '{{"a":1,"a":2}}'
+               WHEN 8 THEN '"{{}}"' ELSE '"plain"' END AS awarders
+        FROM {COMMENTS} WHERE reason = 'kept'""",
+    "clean_comments_all": f"""
+        SELECT CAST(event_id AS VARCHAR) AS id, 'User_' || user_id AS author,
+               upper(substr(event_type, 1, 1)) || substr(event_type, 2) AS subreddit,
+               CASE WHEN event_id % 10 <> 0 THEN user_id END AS score, CAST(0 AS BIGINT) AS controversiality,
+               CASE WHEN event_id % 5 = 0 THEN 'null' ELSE replace(props, ' ', '') END AS gildings, 'none' AS distinguished,
+               {_constants({
+                   "CAST(NULL AS VARCHAR)": "subreddit_id subreddit_type parent_id link_id",
+                   "''": "author_fullname permalink name approved_by body collapsed_reason collapsed_reason_code"
+                         " associated_award unrepliable_reason",
+                   "CAST(NULL AS TIMESTAMP)": "created_utc retrieved_on banned_at_utc approved_at_utc",
+                   "CAST(NULL AS BOOLEAN)": "author_is_blocked author_premium stickied score_hidden collapsed no_follow"
+                         " can_gild can_mod_post is_submitter send_replies archived locked saved author_patreon_flair likes",
+                   "CAST(NULL AS BIGINT)": "ups downs total_awards_received gilded num_reports",
+                   "'null'": "all_awardings awarders mod_reports user_reports report_reasons",
+               })}
+        FROM {COMMENTS} WHERE reason = 'kept'""",
+    "clean_submissions_all": f"""
+        SELECT CAST(d.doc_id AS VARCHAR) AS id, d.source AS subreddit, d.lang AS author,
+               replace(replace(coalesce(d.text, ''), chr(10), ' '), chr(13), ' ') AS selftext, d.n_chars AS score,
+               CASE WHEN l.quality IS NULL THEN 'none' ELSE 'labelled' END AS distinguished,
+               l.quality = 1 AS is_original_content,
+               {_constants({
+                   "CAST(NULL AS VARCHAR)": "subreddit_id subreddit_type",
+                   "''": "author_fullname title name author_flair_text permalink url category",
+                   "CAST(NULL AS TIMESTAMP)": "created_utc retrieved_on",
+                   "CAST(NULL AS BOOLEAN)": "author_is_blocked stickied is_self is_video locked saved spoiler media_only"
+                         " can_gild contest_mode no_follow author_premium author_patreon_flair pinned hide_score",
+                   "CAST(NULL AS BIGINT)": "ups downs num_comments total_awards_received gilded num_crossposts",
+                   "CAST(NULL AS DOUBLE)": "upvote_ratio",
+                   "'null'": "gildings all_awardings awarders media media_metadata secure_media",
+               })}
+        FROM {LABELLED} WHERE {DOCUMENT_REASON} = 'kept'""",
 }

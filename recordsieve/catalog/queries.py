@@ -490,3 +490,33 @@ def dup_named_key(spark, sf_dir):
     )
     found = duplicate_rows(rows, "key", long_keys=True)
     return keep_members(found, text.key_of("item"), word_list(spark, b.TOPICS_DOCUMENTS)).select("doc_id", "item", "n")
+
+
+@query
+def json_typed(spark, sf_dir):
+    """A nested field that is a string, in words that read like numbers, arrays or booleans, keeps its quotes."""
+    variants = [F.lit(v) for v in ('"0"', '"12"', '"[x"', '"false"', '""', "0", '[1, "b"]', '{"a": 1, "a": 2}', '"{}"', '"plain"')]
+    field = F.element_at(F.array(*variants), (F.col("event_id") % len(variants) + 1).cast("int"))
+    lines = b.comment_lines(spark, sf_dir)
+    whole = F.concat(F.expr("substring(line, 1, length(line) - 1)"), F.lit(',"awarders": '), field, F.lit("}"))
+    lines = lines.withColumn("line", F.when(F.col("line").endswith("}"), whole).otherwise(F.col("line")))
+    kept = clean(lines, COMMENTS, *_event_lists(spark)).kept
+    return kept.select(F.col("id").cast("bigint").alias("event_id"), "awarders")
+
+
+def _comparable(kept):
+    """Timestamps without a zone, as the other side has them."""
+    names = [name for name, dtype in kept.dtypes if dtype == "timestamp"]
+    return kept.withColumns({name: F.col(name).cast("timestamp_ntz") for name in names})
+
+
+@query
+def clean_comments_all(spark, sf_dir):
+    """All 49 columns."""
+    return _comparable(_clean_events(spark, sf_dir, by=()).kept)
+
+
+@query
+def clean_submissions_all(spark, sf_dir):
+    """All 46 columns."""
+    return _comparable(clean(b.document_lines(spark, sf_dir), SUBMISSIONS, *_document_lists(spark)).kept)

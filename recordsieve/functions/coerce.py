@@ -56,13 +56,49 @@ def to_timestamp(c: str) -> str:
     )
 
 
+def _json_string(c: str) -> str:
+    wrapped = f"to_json(struct({c} AS v))"
+    return f"substring({wrapped}, 6, length({wrapped}) - 6)"
+
+
+def _like_json(c: str) -> str:
+    """Whether the text of a field could be that of a JSON value other than a string."""
+    return f"(startswith({c}, '[') OR startswith({c}, '{{') OR {c} IN ('true', 'false') OR {c} RLIKE {NUMBER})"
+
+
 def to_json_text(c: str) -> str:
     """JSON text of a nested value; every falsy value gives the text ``null``."""
     # A plain JSON string has lost its quotes on the way in: put them back.
-    wrapped = f"to_json(struct({c} AS v))"
     return (
         f"CASE WHEN {c} IS NULL OR {c} IN {FALSY_JSON} THEN 'null'"
         f" WHEN startswith({c}, '[') OR startswith({c}, '{{')"
         f" OR {c} = 'true' OR {c} RLIKE {NUMBER} THEN {c}"
-        f" ELSE substring({wrapped}, 6, length({wrapped}) - 6) END"
+        f" ELSE {_json_string(c)} END"
+    )
+
+
+def is_json_string(line: str, field: str, c: str) -> str:
+    """Whether ``field`` of a JSON line, which reads as ``c``, is a string, by the type it has as a VARIANT.
+
+    The line is only parsed again where the field's name is followed by a quote. A line that VARIANT does not take (a
+    repeated key, NaN) is told by reading the field as the type its text suggests, see ``truth.quoted``.
+    """
+    from recordsieve.functions.truth import quoted
+
+    kind = f"schema_of_variant(try_variant_get(try_parse_json({line}), '$.{field}', 'variant'))"
+    follows = literal(f'"{field}"[ \t\r\n]*:[ \t\r\n]*"')
+    return f"CASE WHEN {line} RLIKE {follows} THEN coalesce({kind} = 'STRING', {quoted(line, field, c)}) ELSE false END"
+
+
+def exact_json(line: str, field: str, c: str) -> str:
+    """JSON text of a field, strings with their quotes; NULL where there is no value."""
+    return (
+        f"CASE WHEN {c} IS NULL THEN CAST(NULL AS STRING) WHEN NOT {_like_json(c)} THEN {_json_string(c)}"
+        f" WHEN {is_json_string(line, field, c)} THEN {_json_string(c)} ELSE {c} END"
     )
+
+
+def truthy_json(c: str) -> str:
+    """Exact JSON text, with ``null`` for every falsy value: null, 0, false, and empty strings, arrays and objects."""
+    empty = FALSY_JSON.replace("''", "'\"\"'")
+    return f"CASE WHEN {c} IS NULL OR {c} IN {empty} OR ({number(c)}) = 0D THEN 'null' ELSE {c} END"

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from recordsieve.functions import truth
+from recordsieve.functions.coerce import exact_json
 from recordsieve.functions.text import key_of
 from recordsieve.operators.membership import flag_members
 from recordsieve.operators.parse import parse_records, parse_where
-from recordsieve.specs import BAD_LINES, BOTS, DELETED_AUTHOR, OFF_TOPIC, RecordSpec, Rule
+from recordsieve.specs import BAD_LINES, BOTS, DELETED_AUTHOR, JSON, OFF_TOPIC, RecordSpec, Rule
 
 
 def rule_test(rule: Rule, source: str = "record", line: str | None = None) -> str:
@@ -66,6 +66,8 @@ def judge(
             *((rule_test(rule, line="line"), rule.reason) for rule in spec.rules),
         ]
     )
-    judged = full.selectExpr(*carried, "subreddit", f"{reason} AS reason", "record")
-    kept = ", ".join(f"record.`{name}` AS `{name}`" for name in spec.names)
-    return judged.withColumn("record", F.expr(f"CASE WHEN reason IS NULL THEN struct({kept}) END"))
+    judged = full.selectExpr(*carried, "line", "subreddit", f"{reason} AS reason", "record")
+    # While the line is at hand: nested values become exact JSON text, in which "0" is no 0.
+    exact = {name: exact_json("line", name, f"record.`{name}`") for name in spec.group(JSON)}
+    kept = ", ".join(f"{exact.get(name, f'record.`{name}`')} AS `{name}`" for name in spec.names)
+    return judged.selectExpr(*carried, "subreddit", "reason", f"CASE WHEN reason IS NULL THEN struct({kept}) END AS record")

@@ -26,26 +26,36 @@ COERCIONS = {
 }
 
 
-def typed_columns(spec: RecordSpec, source: str = "", null_text: str = "") -> dict[str, tuple[str, str]]:
+def typed_columns(
+    spec: RecordSpec, source: str = "", null_text: str = "", exact: bool = False
+) -> dict[str, tuple[str, str]]:
     """Output name -> SQL of the (raw, typed) value; raw fields are STRING
-    columns, or the fields of struct ``source``."""
+    columns, or the fields of struct ``source``. With ``exact``, nested values
+    are JSON text already, as ``judge`` leaves them."""
     out = {}
     for name, group in spec.columns:
         raw = f"{source}.`{name}`" if source else f"`{name}`"
         typed = text.flatten_text(raw, null_text) if group == TEXT else COERCIONS[group](raw)
+        if exact and group == JSON:
+            typed = to.truthy_json(raw)
         out[name] = raw, typed
     return out
 
 
 def coerce(
-    df: DataFrame, spec: RecordSpec, source: str = "", keep: Sequence[str] = (), null_text: str = ""
+    df: DataFrame,
+    spec: RecordSpec,
+    source: str = "",
+    keep: Sequence[str] = (),
+    null_text: str = "",
+    exact: bool = False,
 ) -> DataFrame:
     """Typed output of ``spec``, after the ``keep`` columns. Drops no row.
 
     ``null_text`` is what a NULL in a text column becomes: '' by default,
     'None' for what plain string conversion in Python would give.
     """
-    columns = typed_columns(spec, source, null_text)
+    columns = typed_columns(spec, source, null_text, exact)
     return df.selectExpr(*keep, *(f"{typed} AS `{name}`" for name, (_, typed) in columns.items()))
 
 
@@ -55,7 +65,7 @@ def staged(judged: DataFrame, spec: RecordSpec, null_text: str = "") -> DataFram
     ``out`` has the typed columns (NULL for lines that are not kept), ``rejected`` the raw values that could not be
     converted, by column, and ``missing`` a bit for each column, in the order of the spec, that had no value.
     """
-    columns = typed_columns(spec, "record", null_text)
+    columns = typed_columns(spec, "record", null_text, exact=True)
     typed = ", ".join(f"{value} AS `{name}`" for name, (_, value) in columns.items())
     # A generator's output is a plain attribute: what follows cannot repeat the coercions.
     out = judged.select("*", F.explode(F.array(F.expr(f"CASE WHEN record IS NOT NULL THEN struct({typed}) END"))).alias("out"))

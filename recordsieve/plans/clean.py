@@ -31,7 +31,7 @@ class Cleaned:
 
     @cached_property
     def kept(self) -> DataFrame:
-        return coerce(self.kept_raw, self.spec, "record", self.by, self.null_text)
+        return coerce(self.kept_raw, self.spec, "record", self.by, self.null_text, exact=True)
 
     @cached_property
     def cells(self) -> DataFrame:
@@ -39,7 +39,7 @@ class Cleaned:
 
     @property
     def audit(self) -> DataFrame:
-        columns = typed_columns(self.spec, "record", self.null_text)
+        columns = typed_columns(self.spec, "record", self.null_text, exact=True)
         coerced = {name: columns[name] for name, group in self.spec.columns if group != RAW}
         return null_audit(self.kept_raw, coerced, self.by)
 
