@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from recordsieve.operators.membership import bounded
+from recordsieve.operators.project import coerce
 from recordsieve.session import remove, subfolders
 from recordsieve.specs import SPECS
 
@@ -31,7 +33,28 @@ TABLES = (
 )
 
 
-def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+_SCHEMAS = {
+    "stats/cells": "subreddit string, reason string, n bigint",
+    "stats/totals": "n_read bigint, n_processed bigint, n_written bigint, n_filtered bigint, n_filtered_legacy bigint",
+    "stats/by_reason": "reason string, n bigint",
+    "stats/by_group": "subreddit string, n_all bigint, n_topic bigint, n_kept bigint",
+    "stats/null_audit": "col string, nulls_before bigint, nulls_after bigint",
+    "rejected": "id string, col string, value string",
+}
+
+
+def _schema(spark: SparkSession, table: str) -> StructType:
+    """Columns of a published table, with those of its folders."""
+    if table in _SCHEMAS:
+        own = spark.createDataFrame([], _SCHEMAS[table]).schema
+    else:
+        spec = SPECS[table.split("/")[0]]
+        own = coerce(spark.createDataFrame([], ", ".join(f"`{n}` string" for n in spec.names)), spec).schema
+    folders = spark.createDataFrame([], "run string, kind string, file_id string, base_name string").schema
+    return StructType([*own.fields, *folders.fields])
+
+
+def read_table(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """A table of earlier runs, empty if there is none yet."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -76,7 +99,8 @@ def live(spark: SparkSession, output: str, table: str, rows: DataFrame | None =
 
     Give ``rows`` where the table needs another reader than Parquet; they need the columns of the folders.
     """
-    rows = spark.read.parquet(f"{output}/{table}") if rows is None else rows
+    if rows is None:
+        rows = read_table(spark, f"{output}/{table}", _schema(spark, table))
     # The name comes from the list, as folders give '007' as a number.
     files = live_files(spark, output).select("run", "kind", "file_id", F.col("base_name").alias("name_"))
     found = rows.join(bounded(files), ["run", "kind", "file_id"])
