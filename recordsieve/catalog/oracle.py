@@ -286,4 +286,5 @@ ORACLE = {
                    "'null'": "gildings all_awardings awarders media media_metadata secure_media",
                })}
         FROM {LABELLED} WHERE {DOCUMENT_REASON} = 'kept'""",
+    "csv_split": "SELECT doc_id, nullif(text, '') AS text, lang, source FROM documents",
 }

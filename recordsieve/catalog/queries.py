@@ -26,6 +26,7 @@ from recordsieve.plans.duplicate_check import check_duplicates
 from recordsieve.plans.ledger import live
 from recordsieve.session import work_dir
 from recordsieve.sinks.tables import write_csv, write_parquet, write_report
+from recordsieve.sources.csv_blocks import read_csv_blocks
 from recordsieve.sources.files import clean_words, list_files, read_csv
 from recordsieve.sources.zst import read_zst
 from recordsieve.specs import COMMENTS, DELETED_AUTHOR, SUBMISSIONS
@@ -520,3 +521,12 @@ def clean_comments_all(spark, sf_dir):
 def clean_submissions_all(spark, sf_dir):
     """All 46 columns."""
     return _comparable(clean(b.document_lines(spark, sf_dir), SUBMISSIONS, *_document_lists(spark)).kept)
+
+
+@query
+def csv_split(spark, sf_dir):
+    """Documents, line ends and quotes included, as CSV files that are each read by many tasks."""
+    path = work_dir(spark, "csv-split")
+    documents = b.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    write_csv(documents, path, by=())
+    return read_csv_blocks(spark, path, "doc_id bigint, text string, lang string, source string", block_bytes=1 << 18)
