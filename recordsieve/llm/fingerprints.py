@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordsieve.llm import near_dups
+from recordsieve.llm.rows import numbered
 from recordsieve.llm.text import minima, shingles, slices, words
 from recordsieve.session import work_dir, written
 
@@ -65,29 +66,31 @@ def edited_fingerprints(docs: DataFrame, settings: Settings = Settings()) -> Dat
 
     The edited text has its last third (rounded down, in code points) replaced by the beginning of the next document in
     descending doc_id; the last is followed by the first. Result: doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next. Ids must be unique and not NULL. NULL texts count as empty; a single
-    document is its own next. Other columns are not read.
+    edited_fingerprint, near_edited, near_next. NULL texts count as empty; a single document is its own next. Rows without
+    an id come last, and rows that repeat one follow each other in the order of their numbers (see `rows.numbered`); each
+    is a document of its own. Other columns are not read.
 
     Documents are dealt out by ranges of doc_id (one shuffle of the texts, of even ranges whatever the ids are), and each
     task walks its own range. The one document that follows a range's last is sent along with that range.
     """
     s, spark = settings, docs.sparkSession
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ids = texts.select("doc_id")
+    texts = numbered(docs.select("doc_id", "text"), "row").withColumn("text", F.coalesce("text", F.lit("")))
+    ids = texts.select("doc_id", "row")
     n = max(texts.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     cuts = sorted({int(x) for x in ids.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n) if x is not None})
     bounds = F.array(*[F.lit(x).cast("bigint") for x in cuts]) if cuts else F.array().cast("array<bigint>")
     part = F.size(F.filter(bounds, lambda x: x < F.col("doc_id")))
-    top = {r.part: r.top for r in ids.groupBy(part.alias("part")).agg(F.max("doc_id").alias("top")).collect()}
+    first = F.max(F.struct("doc_id", (-F.col("row")).alias("back")))  # NULL is the least
+    top = {r.part: -r.back for r in ids.groupBy(part.alias("part")).agg(first["back"].alias("back")).collect()}
     order = sorted(top, reverse=True)
     follows = [(part, top[order[(i + 1) % len(order)]]) for i, part in enumerate(order)]  # a row per range
-    extra = spark.createDataFrame(follows, "part int, doc_id bigint")
+    extra = spark.createDataFrame(follows, "part int, row bigint")
     guests = written(
-        texts.join(F.broadcast(extra), "doc_id").select("part", "doc_id", "text", F.lit(1).alias("guest")),
+        texts.join(F.broadcast(extra), "row").select("part", "doc_id", "row", "text", F.lit(1).alias("guest")),
         f"{work_dir(spark, 'fingerprints')}/guests",
     )
-    dealt = texts.select(part.alias("part"), "doc_id", "text", F.lit(0).alias("guest")).unionByName(guests)
-    dealt = dealt.repartition(n, "part").sortWithinPartitions("part", "guest", F.desc("doc_id"))
+    dealt = texts.select(part.alias("part"), "doc_id", "row", "text", F.lit(0).alias("guest")).unionByName(guests)
+    dealt = dealt.repartition(n, "part").sortWithinPartitions("part", "guest", F.desc_nulls_last("doc_id"), "row")
 
     def rows(batches):
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]

@@ -3,9 +3,9 @@
 A text is cut into sentences at line ends and after words that end in . ! ? ; : or , (clauses count as sentences, as some
 sentences have hundreds of words). At every sentence begins a run: the shortest one of `sentences` consecutive sentences
 or more that has `words` words or more. Runs are hashed over their lower-cased words and joined globally. Of runs with
-equal hashes the first stays, by (doc_id, place); the sentences that any other one covers are removed.
+equal hashes the first stays, by (doc_id, row, place); the sentences that any other one covers are removed.
 
-Two shuffles move 20 bytes per sentence: one finds the repeated hashes, combining within each task, and one finds their
+Two shuffles move about 30 bytes per sentence: one finds the repeated hashes, combining within each task, and one finds their
 other places. A hash that a third of all documents hold is one row per task in the first; in the second, adaptive
 execution splits it. Texts are shuffled once, to the list of their own removed runs.
 """
@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordsieve.llm.rows import numbered
 from recordsieve.llm.text import buffers, mix, slices, words
 from recordsieve.session import work_dir, written
 
@@ -71,11 +72,11 @@ def _runs(docs: DataFrame, s: Settings) -> DataFrame:
     def find(batches):
         for batch in slices(batches, "text"):
             doc, number, count, _, found = runs(batch.column("text"), s)
-            ids = batch.column("doc_id").take(pa.array(doc))
+            ids, rows = (batch.column(c).take(pa.array(doc)) for c in ("doc_id", "row"))
             place = (number << 20) | np.minimum(count, (1 << 20) - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(found), ids, pa.array(place)], ["run", "doc_id", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(found), ids, rows, pa.array(place)], ["run", "doc_id", "row", "place"])
 
-    return docs.mapInArrow(find, "run bigint, doc_id bigint, place bigint")
+    return docs.mapInArrow(find, "run bigint, doc_id bigint, row bigint, place bigint")
 
 
 def span_dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -83,15 +84,17 @@ def span_dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     The text keeps the bytes of its other sentences as they were, with the blanks after them. NULL texts count as empty
     and come out empty; texts with fewer than `sentences` sentences or `words` words stay whole. A later copy of a whole
-    text loses all that its runs cover. `doc_id` must not repeat; rows without one are first in order. A run has at most
-    2^20 - 1 sentences, as it is the shortest one with `words` words. Other columns are not read. No rows give no rows.
+    text loses all that its runs cover. Rows are told apart by their number (see `rows.numbered`), not by their id: rows
+    without an id come first in order, and rows that repeat one follow each other, each a document of its own. A run has
+    at most 2^20 - 1 sentences, as it is the shortest one with `words` words. Other columns are not read. No rows give no
+    rows.
     """
     s, store = settings, work_dir(docs.sparkSession, "spans")
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    seen = _runs(texts, s).groupBy("run").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("first"))
+    texts = numbered(docs.select("doc_id", "text"), "row").withColumn("text", F.coalesce("text", F.lit("")))
+    seen = _runs(texts, s).groupBy("run").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "place")).alias("first"))
     repeated = written(seen.where("n > 1").select("run", "first"), f"{store}/repeated")
-    again = _runs(texts, s).join(repeated, "run").where("NOT (struct(doc_id, place) <=> first)")
-    removed = again.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+    again = _runs(texts, s).join(repeated, "run").where("row <> first.row OR place <> first.place")
+    removed = again.groupBy("row").agg(F.collect_set("place").alias("places"))
     removed = written(removed, f"{store}/removed")
 
     def cut(batches):
@@ -122,7 +125,6 @@ def span_dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 ["doc_id", "text", "n_sentences", "n_removed", "removed_words"],
             )
 
-    rows = texts.join(removed.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")), "left").drop("id")
-    return rows.mapInArrow(
+    return texts.join(removed, "row", "left").mapInArrow(
         cut, "doc_id bigint, text string, n_sentences bigint, n_removed bigint, removed_words bigint"
     )
