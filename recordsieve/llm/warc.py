@@ -41,10 +41,15 @@ class Settings:
     #: Bytes of the first payloads of each archive that its dictionary is trained from.
     sample: int = 4 << 20
     date: str = "2024-01-01T00:00:00Z"
-    #: A record that claims or holds more is refused when read.
+    #: A record that claims or holds more is refused, when it is written and when it is read.
     largest: int = 1 << 30
 
 
+#: A leading frame that claims or unpacks to more is no dictionary. What a step unpacks is bounded by its bytes.
+DICTIONARY_MOST = 16 << 20
+STEP = 1 << 11
+
+
 def base32_sha1(data: bytes) -> str:
     return base64.b32encode(sha1(data).digest()).decode()
 
@@ -55,6 +60,8 @@ def record(page_id: int | None, url: str | None, html: str, keeper: int | None,
     digest = base32_sha1(payload)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if keeper is not None else http + payload
+    if len(block) + 4096 > s.largest:
+        raise ValueError(f"page {page_id} has {len(payload)} bytes, more than a record may have")
     own = "" if page_id is None else page_id
     lines = [
         ("WARC-Type", "response" if keeper is None else "revisit"),
@@ -142,13 +149,17 @@ def frames(read, largest: int) -> Iterator[bytes]:
     dictionary = None
     if len(rest) == 8 and struct.unpack("<I", rest[:4])[0] == SKIPPABLE:
         length = struct.unpack("<I", rest[4:])[0]
+        if length > DICTIONARY_MOST:
+            raise ValueError(f"the dictionary frame claims {length} bytes")
         body = b""
         while len(body) < length and (part := read(length - len(body))):
             body += part
         if len(body) < length:
             raise ValueError("the dictionary frame is cut short")
         if body[:4] == FRAME:
-            body = zstandard.ZstdDecompressor().decompressobj().decompress(body)
+            body = zstandard.ZstdDecompressor().stream_reader(body).read(DICTIONARY_MOST + 1)
+            if len(body) > DICTIONARY_MOST:
+                raise ValueError(f"the dictionary unpacks to more than {DICTIONARY_MOST} bytes")
         dictionary, rest = zstandard.ZstdCompressionDict(body), b""
     unpacker = zstandard.ZstdDecompressor(dict_data=dictionary) if dictionary else zstandard.ZstdDecompressor()
     while rest or (rest := read(size)):
@@ -167,13 +178,13 @@ def frames(read, largest: int) -> Iterator[bytes]:
         while not frame.eof:
             if not rest and not (rest := read(size)):
                 raise ValueError("a frame is cut short")
-            for at in range(0, len(rest), 1 << 16):  # a little at a time, so that a bomb is noticed
-                parts.append(frame.decompress(rest[at : at + (1 << 16)]))
+            for at in range(0, len(rest), STEP):  # a little at a time, so that a bomb is noticed
+                parts.append(frame.decompress(rest[at : at + STEP]))
                 total += len(parts[-1])
                 if total > largest:
                     raise ValueError(f"a record has more than {largest} bytes")
                 if frame.eof:
-                    rest = frame.unused_data + rest[at + (1 << 16) :]
+                    rest = frame.unused_data + rest[at + STEP :]
                     break
             else:
                 rest = b""
