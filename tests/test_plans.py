@@ -7,9 +7,14 @@ import pytest
 from helpers import lines_df, lists, optimized_plan, physical_plan, sorted_rows
 from recordsieve.catalog.queries import REGISTRY
 from recordsieve.operators import membership
+from recordsieve.operators.audit import staged_audit
 from recordsieve.operators.cascade import judge
+from recordsieve.operators.duplicates import drop_duplicates, possible_repeats
+from recordsieve.operators.key_index import drop_seen, open_index, unseen_rows
 from recordsieve.operators.membership import flag_members, word_list
+from recordsieve.operators.project import rejected_values, staged
 from recordsieve.plans.clean import clean
+from recordsieve.session import written
 from recordsieve.specs import COMMENTS
 
 SF = "/root/testdata/sf0.001"
@@ -78,3 +83,42 @@ def test_judged_rows_are_lean(spark):
     judged = judge(lines_df(spark, [LINE, "{", '{"subreddit":"x"}']), COMMENTS, *lists(spark))
     assert judged.columns == ["i", "subreddit", "reason", "record"]
     assert [r.record is None for r in judged.orderBy("i").collect()] == [False, True, True]
+
+
+def test_generated_methods_are_small_enough_to_compile(spark, tmp_path, capsys):
+    """The JIT leaves methods beyond 8,000 bytes interpreted. Of a run: judging, coercion, audit and output."""
+    judged = judge(lines_df(spark, [LINE]), COMMENTS, *lists(spark), stripped=True)
+    rows = written(staged(judged, COMMENTS), str(tmp_path / "staged"))
+    for df in (staged(judged, COMMENTS), staged_audit(rows, COMMENTS), rows.select("out.*"), rejected_values(rows)):
+        df.write.format("noop").mode("overwrite").save()
+        df.explain("codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        assert all(n < 8_000 for n in sizes)
+
+
+def test_rows_of_single_keys_do_not_move(spark):
+    """Only possible repeats are aggregated; what is broadcast to find them has a bound."""
+    df = spark.createDataFrame([(i, f"k{i % 50 if i < 100 else i}") for i in range(300)], "i int, key string")
+    marked, mark = possible_repeats(df, "key")
+    assert marked.where(mark).count() == 100 and df.columns == marked.columns[:-1]
+    plan = physical_plan(drop_duplicates(df, "key", ["i"]))
+    assert "Union" in plan and plan.count("Exchange hashpartitioning") == 1 and plan.count("BroadcastHashJoin") == 2
+    # With fewer slots than keys nothing is lost, only more moves.
+    crowded, mark = possible_repeats(df, "key", slots=64)
+    assert crowded.where(mark).count() >= 100 and crowded.count() == 300
+
+
+def test_a_key_index_is_not_shuffled(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"k{i % 7}") for i in range(20)], "i int, key string")
+    first = drop_seen(df, "key", str(tmp_path / "index"), "one", ["i"], buckets=8)
+    assert sorted_rows(first) == [(i, f"k{i}") for i in range(7)]
+    name, buckets = open_index(spark, str(tmp_path / "index"), buckets=99)
+    assert buckets == 8 and spark.table(name).count() == 7
+    plan = physical_plan(unseen_rows(df, "key", spark.table(name), ["i"], "two"))
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    # The only exchange is that of the delivery.
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastExchange" not in plan
+    more = spark.createDataFrame([(1, "k1"), (2, "new"), (3, None), (4, None)], "i int, key string")
+    for _ in range(2):  # a delivery may be given again
+        assert sorted_rows(drop_seen(more, "key", str(tmp_path / "index"), "two", ["i"])) == [(2, "new"), (3, None)]
+    assert spark.table(name).count() == 9
