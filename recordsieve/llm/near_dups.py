@@ -53,7 +53,7 @@ def described(docs: DataFrame, s: Settings) -> DataFrame:
     def describe(batches):
         turn = random_words(s.rows, s.seed + 7) | np.uint64(1)
         names = random_words(s.bands, s.seed + 8)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4 << 20):
             found, sizes = shingles(*words(batch.column("text")), s.width)
             lows = minima(found, sizes, s.bands * s.rows, s.seed)
             grouped = lows.astype(np.uint64).reshape(-1, s.bands, s.rows)
@@ -84,7 +84,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, items): the sorted distinct shingle hashes of (doc_id, text), 8 bytes each."""
 
     def collect(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4 << 20):
             sets = [_distinct(x).tobytes() for x in per_text(*shingles(*words(batch.column("text")), width))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "items"])
 
