@@ -12,13 +12,15 @@ Proposals go to the workers as a Bloom filter of bounded size (`most_bits`). A p
 which costs time and changes nothing. Whether an earlier pass counted a phrase is told by that pass's filter, so a phrase
 is counted in one pass only.
 
-A phrase is the 64-bit hashes of its words; a language is part of them. Counts are combined by slice and by task before
-they are shuffled, so a phrase in every document is one row per task. Languages are not a key of any shuffle of counts.
-Words come with their spelling, so that phrases are spelled out without another pass.
+A word is a 64-bit hash that its language is part of, and a phrase is a hash of its words' hashes. Passes shuffle a hash
+and a count, 16 bytes, combined by slice and by task before, so a phrase in every document is a few rows per task.
+Languages are not a key of any shuffle of counts. A last pass spells out what is frequent: the words of each phrase.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
 
@@ -35,7 +37,7 @@ from recordsieve.session import remove, work_dir, written
 STOPS = b".,;:!?\n\x0b\x0c\r"
 BREAKS = STOPS + b" \t"
 WORDS = ["h1", "h2", "h3", "h4"]
-COUNTS = "h1 bigint, h2 bigint, h3 bigint, h4 bigint, lang string, word string, n bigint"
+SPELLED = "key bigint, h1 bigint, h2 bigint, h3 bigint, h4 bigint, lang string, word string, n bigint"
 RESULT = "lang string, rank int, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint"
 
 
@@ -48,11 +50,15 @@ class Settings:
     #: A longer candidate takes in the phrases it holds if it has this percentage of their occurrences.
     percent: int = 80
     #: One document in `share` is in the sample; a phrase is proposed if the sample has it `proposed` times.
-    share: int = 8
+    share: int = 32
     proposed: int = 2
     #: Bits of a filter: 16 for each proposed phrase, `most_bits` at most (64 MB).
     most_bits: int = 1 << 29
-    slice_bytes: int = 8 << 20
+    slice_bytes: int = 4 << 20
+    #: Of the occurrences of a frequent phrase, one in so many is read to spell it out.
+    spelled: int = 8
+    #: Counts that a task holds back to combine them.
+    held: int = 1 << 21
     parts: int = 64
 
 
@@ -85,7 +91,7 @@ def _places(keys: np.ndarray, mask: np.uint64) -> list[np.ndarray]:
 
 
 def filter_of(phrases: DataFrame, s: Settings) -> Filter:
-    """A filter of the phrases (h1, h2, h3, h4). Tasks set bits, a grouping joins them to words of 64, and these, at most
+    """A filter of the phrases (key). Tasks set bits, a grouping joins them to words of 64, and these, at most
     most_bits / 64 rows, go to the driver."""
     n_bits = 1 << 16
     n = phrases.count()
@@ -95,33 +101,23 @@ def filter_of(phrases: DataFrame, s: Settings) -> Filter:
 
     def places(batches):
         for batch in batches:
-            for size, keys in _phrase_keys(batch):
-                if size:
-                    bits = np.unique(np.concatenate(_places(keys, mask)))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array((bits >> np.uint64(6)).astype(np.int64)),
-                            pa.array((np.uint64(1) << (bits & np.uint64(63))).view(np.int64)),
-                        ],
-                        ["place", "bit"],
-                    )
-
-    table = phrases.select(*WORDS).mapInArrow(places, "place bigint, bit bigint")
+            keys = batch.column("key").to_numpy().view(np.uint64)
+            bits = np.unique(np.concatenate(_places(keys, mask)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array((bits >> np.uint64(6)).astype(np.int64)),
+                    pa.array((np.uint64(1) << (bits & np.uint64(63))).view(np.int64)),
+                ],
+                ["place", "bit"],
+            )
+
+    table = phrases.select("key").mapInArrow(places, "place bigint, bit bigint")
     table = table.groupBy("place").agg(F.bit_or("bit").alias("bits")).toArrow()
     bits = np.zeros(n_bits >> 6, np.uint64)
     bits[table["place"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
     return Filter(bits)
 
 
-def _phrase_keys(batch: pa.RecordBatch):
-    """(number, keys) of the phrases of each length; a word that is not there is 0."""
-    columns = [batch.column(c).to_numpy().view(np.uint64) for c in WORDS]
-    sizes = sum((c != 0).astype(int) for c in columns) if len(columns[0]) else np.zeros(0, int)
-    for size in range(1, len(WORDS) + 1):
-        at = np.flatnonzero(sizes == size)
-        yield len(at), _keys([c[at] for c in columns[:size]]) if len(at) else np.zeros(0, np.uint64)
-
-
 def _salt(lang: str) -> int:
     return int.from_bytes(blake2b(lang.encode(), digest_size=8).digest(), "little")
 
@@ -146,15 +142,40 @@ def _words(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     return hashes, follows, begins, stops, doc
 
 
-def _grouped(parts: list[np.ndarray], at: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The words of the distinct phrases that begin at `at`, how often they do, and where first."""
-    own = [p[at + k] for k, p in enumerate(parts)]
-    _, first, n = np.unique(_keys(own), return_index=True, return_counts=True)
-    return [x[first] for x in own], n, at[first]
+class _Sums:
+    """Counts by key, held back to be combined; at most about twice `held` entries."""
+
+    def __init__(self, held: int):
+        self.held, self.keys, self.counts, self.size = held, [], [], 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.keys.append(keys)
+        self.counts.append(counts)
+        self.size += len(keys)
+        if self.size > self.held:
+            self._combine()
+            if self.size > self.held // 2:
+                yield from self.flush()
+
+    def _combine(self) -> None:
+        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        cuts = np.flatnonzero(np.concatenate([np.ones(1, bool), keys[1:] != keys[:-1]]))
+        self.keys, self.counts = [keys[cuts]], [np.add.reduceat(counts, cuts)]
+        self.size = len(cuts)
 
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            self._combine()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.keys[0].view(np.int64)), pa.array(self.counts[0])], ["key", "n"]
+            )
+        self.keys, self.counts, self.size = [], [], 0
 
-def _counted(texts: DataFrame, now: Filter | None, before: list[Filter], s: Settings, spell: bool) -> DataFrame:
-    """Counts of words (where `spell`) and phrases of (lang, text), one row for each, with `now` as the proposal.
+
+def _counted(texts: DataFrame, now: Filter | None, before: list[Filter], s: Settings, words_too: bool) -> DataFrame:
+    """(key, n) of words (where `words_too`) and phrases of (lang, text), with `now` as the proposal.
 
     Without `now` every phrase counts. Phrases that a filter of `before` would have counted are left out.
     """
@@ -162,50 +183,32 @@ def _counted(texts: DataFrame, now: Filter | None, before: list[Filter], s: Sett
 
     def count(batches):
         now, before = shared.value
+        sums = _Sums(s.held)
         for batch in slices(batches, "text", s.slice_bytes):
-            hashes, follows, begins, stops, doc = _words(batch)
-            if not len(hashes):
-                continue
-            langs = np.array(batch.column("lang").to_pylist(), object)
-            none = np.zeros(0, np.uint64)
-            if spell:
-                data, _ = buffers(batch.column("text"))
-                (kinds,), n, first = _grouped([hashes], np.arange(len(hashes)))
-                spelled = [
-                    data[a:b].tobytes().decode().translate(_LOWER)
-                    for a, b in zip(begins[first].tolist(), stops[first].tolist(), strict=True)
-                ]
-                yield _rows([kinds], n, langs[doc[first]].tolist(), spelled)
-                used, of = np.unique(doc, return_counts=True)
-                for lang in set(langs[used]):  # all words of a language: a row without a word
-                    yield _rows([none], np.array([of[langs[used] == lang].sum()]), [lang], [None])
+            hashes, follows, *_ = _words(batch)
+            own = _keys([hashes])
+            if words_too:
+                yield from sums.add(*np.unique(own, return_counts=True))
             # Whether the phrase of the length so far that begins here is proposed, now and in earlier passes.
             inside = np.ones(len(hashes), bool)
-            was = [f.has(_keys([hashes])) for f in before]
-            ok = np.ones(len(hashes), bool) if now is None else now.has(_keys([hashes]))
+            ok, was = inside if now is None else now.has(own), [f.has(own) for f in before]
             for size in range(2, s.longest + 1):
-                n_starts = len(hashes) - size + 1
-                if n_starts <= 0:
+                starts = len(hashes) - size + 1
+                if starts <= 0:
                     break
-                inside = inside[:n_starts] & follows[size - 2 : size - 2 + n_starts]
-                wanted = inside & ok[:n_starts] & ok[1 : n_starts + 1]
-                olds = [inside & w[:n_starts] & w[1 : n_starts + 1] for w in was]
-                fresh = wanted.copy()
-                for old in olds:
-                    fresh &= ~old
-                at = np.flatnonzero(fresh)
-                if len(at):
-                    kinds, n, _ = _grouped([hashes] * size, at)
-                    yield _rows(kinds, n, None, None)
+                inside = inside[:starts] & follows[size - 2 : size - 2 + starts]
+                wanted = inside & ok[:starts] & ok[1 : starts + 1]
+                olds = [inside & w[:starts] & w[1 : starts + 1] for w in was]
+                need = np.flatnonzero(np.any([wanted, *olds], axis=0))
+                keys = _keys([hashes[need + k] for k in range(size)])
+                fresh = wanted[need] & ~np.any([np.zeros(len(need), bool), *(old[need] for old in olds)], axis=0)
+                yield from sums.add(*np.unique(keys[fresh], return_counts=True))
                 if size < s.longest:
-                    need = np.flatnonzero(wanted | np.any(olds, axis=0)) if olds else np.flatnonzero(wanted)
-                    keys = _keys([hashes[need + k] for k in range(size)])
-                    ok, was = _spread(now, wanted, need, keys), [
-                        _spread(f, old, need, keys) for f, old in zip(before, olds, strict=True)
-                    ]
+                    ok = _spread(now, wanted, need, keys)
+                    was = [_spread(f, old, need, keys) for f, old in zip(before, olds, strict=True)]
+        yield from sums.flush()
 
-    rows = texts.mapInArrow(count, COUNTS)
-    return rows.groupBy(*WORDS, "lang", "word").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def _spread(f: Filter | None, counted: np.ndarray, need: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -218,12 +221,77 @@ def _spread(f: Filter | None, counted: np.ndarray, need: np.ndarray, keys: np.nd
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def _rows(kinds: list[np.ndarray], n: np.ndarray, langs: list | None, spelled: list | None) -> pa.RecordBatch:
-    size = len(n)
-    columns = [pa.array((k if len(k) == size else np.zeros(size, np.uint64)).view(np.int64)) for k in kinds]
-    columns += [pa.array(np.zeros(size, np.int64))] * (len(WORDS) - len(kinds))
-    texts = [pa.array(x, pa.string()) if x is not None else pa.nulls(size, pa.string()) for x in (langs, spelled)]
-    return pa.RecordBatch.from_arrays([*columns, *texts, pa.array(n.astype(np.int64))], [*WORDS, "lang", "word", "n"])
+def _spelled(texts: DataFrame, known: Filter, s: Settings, one_in: int, rest: Filter | None = None) -> DataFrame:
+    """(key, h1, ..., h4, lang, word, n) of the words and phrases in the filter, lang and word of words only; and for
+    each lang a row with key 0 and the number of all its words. With `rest`, only phrases that are in that filter too.
+
+    Only one occurrence in `one_in` is looked at, by a hash of its place; a task gives a phrase once.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((known, rest))
+
+    def spell(batches):
+        (f, rest), seen, totals = shared.value, np.zeros(0, np.uint64), Counter()
+        for batch in slices(batches, "text", s.slice_bytes):
+            hashes, follows, begins, stops, doc = _words(batch)
+            if not len(hashes):
+                continue
+            langs = batch.column("lang").to_pylist()
+            for i, n in zip(*(x.tolist() for x in np.unique(doc, return_counts=True)), strict=True):
+                totals[langs[i]] += n
+            keys = _keys([hashes])
+            ok = f.has(keys)
+            at = np.flatnonzero(ok)
+            data, _ = buffers(batch.column("text"))
+            inside = np.ones(len(hashes), bool)
+            found = []
+            for size in range(1, s.longest + 1):
+                if size > 1:
+                    starts = len(hashes) - size + 1
+                    if starts <= 0:
+                        break
+                    inside = inside[:starts] & follows[size - 2 : size - 2 + starts]
+                    need = np.flatnonzero(inside & ok[:starts] & ok[1 : starts + 1])
+                    keys = _keys([hashes[need + k] for k in range(size)])
+                    hit = f.has(keys)
+                    at, keys = need[hit], keys[hit]
+                    ok = np.zeros(starts, bool)
+                    ok[at] = True
+                else:
+                    keys = keys[at]
+                if rest:
+                    some = rest.has(keys)
+                    keys, at = keys[some], at[some]
+                if one_in > 1:
+                    some = mix(keys ^ mix(at.astype(np.uint64) + np.uint64(batch.num_rows))) % np.uint64(one_in) == 0
+                    keys, at = keys[some], at[some]
+                keys, first = np.unique(keys, return_index=True)
+                new = ~np.isin(keys, seen, assume_unique=True)
+                keys, first = keys[new], at[first[new]]
+                if len(keys):
+                    found.append(keys)
+                    names = places = None
+                    if size == 1:
+                        places = [langs[d] for d in doc[first].tolist()]
+                        names = [
+                            data[a:b].tobytes().decode().translate(_LOWER)
+                            for a, b in zip(begins[first].tolist(), stops[first].tolist(), strict=True)
+                        ]
+                    yield _rows(keys, [hashes[first + k] for k in range(size)], places, names, None)
+            seen = np.concatenate([seen, *found]) if len(seen) < s.held else np.concatenate([seen[:0], *found])
+        if totals and not rest:
+            yield _rows(np.zeros(len(totals), np.uint64), [], list(totals), None, list(totals.values()))
+
+    rows = texts.mapInArrow(spell, SPELLED)
+    return rows.groupBy("key", *WORDS, "lang", "word").agg(F.sum("n").alias("n"))
+
+
+def _rows(keys: np.ndarray, parts: list[np.ndarray], langs: list | None, names: list | None, n: list | None) -> pa.RecordBatch:
+    size = len(keys)
+    none = pa.array(np.zeros(size, np.int64))
+    columns = [pa.array(keys.view(np.int64)), *(pa.array(p.view(np.int64)) for p in parts)]
+    columns += [none] * (len(WORDS) - len(parts))
+    columns += [pa.array(x, pa.string()) if x is not None else pa.nulls(size, pa.string()) for x in (langs, names)]
+    return pa.RecordBatch.from_arrays([*columns, none if n is None else pa.array(n, pa.int64())], ["key", *WORDS, "lang", "word", "n"])
 
 
 def frequent_phrases(docs: DataFrame, settings: Settings, store: str) -> tuple[DataFrame, DataFrame]:
@@ -233,23 +301,27 @@ def frequent_phrases(docs: DataFrame, settings: Settings, store: str) -> tuple[D
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"), "doc_id")
     sample = texts.where(F.pmod(F.xxhash64("doc_id", F.lit(43)), F.lit(s.share)) == 0).select("lang", "text")
     texts = texts.select("lang", "text")
-    proposed = _counted(sample, None, [], s, True).where((F.col("n") >= s.proposed) & (F.col("h1") != 0))
-    proposed = written(proposed.select(*WORDS), f"{store}/proposed")
+    proposed = written(_counted(sample, None, [], s, True).where(F.col("n") >= s.proposed), f"{store}/proposed")
     now, before, known = filter_of(proposed, s), [], None
     remove(spark, f"{store}/proposed")
     while True:
         turn = len(before)
-        counted = _counted(texts, now, before, s, turn == 0).where((F.col("n") >= s.least) | (F.col("h1") == 0))
-        found = written(counted, f"{store}/pass-{turn}")
+        found = _counted(texts, now, before, s, turn == 0).where(F.col("n") >= s.least)
+        found = written(found, f"{store}/pass-{turn}")
         known = found if known is None else known.unionAll(found)
-        if not turn:
-            totals = found.where("h1 = 0").select("lang", "n")
-        phrases = found.where("h1 <> 0").select(*WORDS)
-        # Closed: all that this pass found was proposed to it.
-        if not _missing(phrases, now):
-            return known.where("h1 <> 0"), totals
+        closed = not _missing(found, now)  # all that this pass found was proposed to it
         before = [*before, now]
-        now = filter_of(known.where("h1 <> 0").select(*WORDS), s)
+        now = filter_of(known, s)
+        if closed:
+            break
+    # A phrase has `least` occurrences or more, so few are not among one in `spelled`; another pass has those, if any.
+    spelled = written(_spelled(texts, now, s, s.spelled), f"{store}/spelled")
+    totals = spelled.where("key = 0 AND lang IS NOT NULL AND word IS NULL").select("lang", "n")
+    rest = written(known.select("key").join(spelled.select("key"), "key", "left_anti"), f"{store}/rest")
+    if not rest.isEmpty():
+        spelled = spelled.unionAll(written(_spelled(texts, now, s, 1, filter_of(rest, s)), f"{store}/spelled-rest"))
+    parts = spelled.where("h1 <> 0").groupBy("key").agg(F.min(F.struct(*WORDS, "lang", "word")).alias("x"))
+    return parts.select("key", "x.*").join(known, "key").select(*WORDS, "lang", "word", "n"), totals
 
 
 def _missing(phrases: DataFrame, now: Filter) -> bool:
@@ -259,11 +331,11 @@ def _missing(phrases: DataFrame, now: Filter) -> bool:
     def outside(batches):
         f = shared.value
         for batch in batches:
-            lost = sum(int((~f.has(keys)).sum()) for size, keys in _phrase_keys(batch) if size)
+            lost = int((~f.has(batch.column("key").to_numpy().view(np.uint64))).sum())
             if lost:
                 yield pa.RecordBatch.from_arrays([pa.array([lost])], ["lost"])
 
-    return not phrases.mapInArrow(outside, "lost bigint").isEmpty()
+    return not phrases.select("key").mapInArrow(outside, "lost bigint").isEmpty()
 
 
 def collocations(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
