@@ -96,8 +96,7 @@ def op11_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    # This tokenizer drops white space.
-    settings = token_orc.Settings(public_tokenizers.path("word_bpe_49k.json"), by_word=True, end=2)
+    settings = token_orc.Settings(public_tokenizers.path("word_bpe_49k.json"), by_piece=True, end=2)
     return token_orc.token_store(docs, work_dir(spark, "token-orc"), settings)
 
 

@@ -18,6 +18,8 @@ SPACES = bytes([9, 10, 11, 12, 13, 32])
 #: For features that ignore punctuation: every ASCII byte that is neither letter nor digit.
 NOT_ALNUM = bytes(b for b in range(128) if not chr(b).isalnum())
 
+ALONE, GLUE = 254, 255
+
 _tables: dict = {}
 
 
@@ -84,12 +86,17 @@ def slices(batches, name: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]
 
 
 def words(
-    column: pa.Array, separators: bytes = SPACES, lower: bool = True, spans: bool = False
+    column: pa.Array,
+    separators: bytes = SPACES,
+    lower: bool = True,
+    spans: bool = False,
+    classes: np.ndarray | None = None,
 ) -> tuple[np.ndarray, ...]:
     """Hashes of all words of all texts, one text after the other, and the number of words of each text.
 
     A word is a longest run of bytes without a separator. With `lower`, A-Z count as a-z. With `spans`, the first and
-    the end byte of each word in the column's buffer follow.
+    the end byte of each word in the column's buffer follow. With `classes`, the class of every byte, words are cut further,
+    between bytes of different classes and between any two of class ALONE, but never at a byte of class GLUE.
     """
     data, starts = buffers(column)
     hashes, places, stops = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -113,6 +120,10 @@ def words(
         edge = np.ones(n + 1, bool)
         is_word = ~is_sep[block]
         edge[1:n] = is_word[1:] != is_word[:-1]
+        if classes is not None:
+            kind = classes[block]
+            cut = (kind[1:] != kind[:-1]) | (kind[1:] == ALONE)
+            edge[1:n] |= cut & (kind[1:] != GLUE) & (kind[:-1] != GLUE)
         inner = starts[np.searchsorted(starts, at, "right") : np.searchsorted(starts, end)] - at
         edge[inner] = True
         cuts = np.flatnonzero(edge)

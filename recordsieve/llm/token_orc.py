@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordsieve.llm.text import buffers, slices, words
+from recordsieve.llm.text import ALONE, GLUE, buffers, slices, words
 from recordsieve.operators.membership import bounded
 
 DOCUMENTS = "doc_id bigint, tie bigint, start_in_file bigint, n_tokens bigint, ids array<int>"
@@ -38,9 +38,10 @@ FILES = "file string, first struct<doc_id:bigint,tie:bigint>, n_documents bigint
 class Settings:
     #: Of the installed tokenizers library; the path is a parameter, the file is not part of this library.
     tokenizer: str
-    #: Whether the tokenizer drops white space and never joins what stands at both sides of it, so that the ids of a text
-    #: are those of its words. Each word is then encoded once and remembered. Otherwise whole texts are encoded.
-    by_word: bool = False
+    #: Whether the tokenizer drops white space, knows no case, and always parts ASCII letters, digits (one by one) and other
+    #: signs, so that the ids of a text are those of its pieces. Each piece is then encoded once and remembered. Otherwise
+    #: whole texts are encoded.
+    by_piece: bool = False
     #: Appended to every document.
     end: int = 2
     stripe_bytes: int = 32 << 20
@@ -70,36 +71,51 @@ def _encode(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((i for x in found for i in x), np.int32, int(sizes.sum())), sizes
 
 
-class Words:
-    """Ids of words seen before, by the words' hashes: a word is encoded by the library once for each worker.
+def _classes() -> np.ndarray:
+    """Letters, digits and other signs. Pieces are not cut at bytes of other characters, at control bytes, at an apostrophe
+    (as in `it's`) and at a bar (as in `<|name|>`), as these may belong to what stands beside them."""
+    out = np.full(256, GLUE, np.uint8)
+    out[33:127] = 2
+    out[[*range(65, 91), *range(97, 123)]] = 1
+    out[48:58] = ALONE
+    out[[ord("'"), ord("|")]] = GLUE
+    return out
 
-    `most` words are remembered at a time; beyond that the list begins anew.
+
+class Pieces:
+    """Ids of pieces seen before, by the pieces' hashes: a piece is encoded by the library once for each worker.
+
+    `most` pieces are remembered at a time (about 30 bytes each); beyond that the list begins anew.
     """
 
-    def __init__(self, path: str, most: int = 1 << 20):
-        self.path, self.most = path, most
+    def __init__(self, path: str, most: int = 1 << 21):
+        self.path, self.most, self.classes = path, most, _classes()
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[int, int] = {}
+        self.known, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes, and whose ids they have
         self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
+    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+        ids, sizes = _encode(self.path, texts)
+        number = len(self.ends) - 1 + np.arange(len(hashes))
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        at = np.searchsorted(self.known, hashes)
+        self.known, self.number = np.insert(self.known, at, hashes), np.insert(self.number, at, number)
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        hashes, counts, begins, stops = words(column, lower=False, spans=True)
+        hashes, counts, begins, stops = words(column, spans=True, classes=self.classes)
         data, _ = buffers(column)
         kinds, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.number) + len(kinds) > self.most:
+        if len(self.known) + len(kinds) > self.most:
             self.clear()
-        names = kinds.tolist()
-        new = [i for i, h in enumerate(names) if h not in self.number]
-        if new:
-            at = first[new]
-            fresh = [data[a:b].tobytes().decode() for a, b in zip(begins[at].tolist(), stops[at].tolist(), strict=True)]
-            ids, sizes = _encode(self.path, fresh)
-            self.number.update(zip((names[i] for i in new), range(len(self.number), len(self.number) + len(new)), strict=True))
-            self.ids = np.concatenate([self.ids, ids])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-        entry = np.fromiter((self.number[h] for h in names), np.int64, len(names))[kind]
+        new = kinds[~np.isin(kinds, self.known, assume_unique=True)] if len(self.known) else kinds
+        if len(new):
+            at = first[np.searchsorted(kinds, new)]
+            places = zip(begins[at].tolist(), stops[at].tolist(), strict=True)
+            self._learn(new, [data[a:b].tobytes().decode() for a, b in places])
+        entry = self.number[np.searchsorted(self.known, kinds)][kind]
         begin, size = self.ends[entry], self.ends[entry + 1] - self.ends[entry]
         ends = np.cumsum(size)
         place = np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))
@@ -110,8 +126,10 @@ class Words:
 def encoded(column: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, one text after the other, each with the end id; and the number of ids of each text."""
     s = settings
-    if s.by_word:
-        memory = _loaded.setdefault(("words", s.tokenizer), Words(s.tokenizer))
+    if s.by_piece:
+        if ("pieces", s.tokenizer) not in _loaded:
+            _loaded["pieces", s.tokenizer] = Pieces(s.tokenizer)
+        memory = _loaded["pieces", s.tokenizer]
         ids, sizes = memory.encode(column)
     else:
         ids, sizes = _encode(s.tokenizer, [x or "" for x in column.to_pylist()])

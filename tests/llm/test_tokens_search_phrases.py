@@ -48,7 +48,7 @@ def empty(spark):
 @pytest.fixture(scope="module")
 def store(odd, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tokens") / "store")
-    return token_orc.write_tokens(odd, path, token_orc.Settings(PATH, by_word=True, stripe_bytes=1 << 16, stride=1_000))
+    return token_orc.write_tokens(odd, path, token_orc.Settings(PATH, by_piece=True, stripe_bytes=1 << 16, stride=1_000))
 
 
 def encoded_rows(odd_rows):
@@ -98,12 +98,14 @@ def test_token_files_have_stripes_indexes_and_bloom_filters(spark, store):
     assert found["ROW_INDEX", 1] == found["stripes"] and ("BLOOM_FILTER_UTF8", 2) not in found
 
 
-def test_words_and_whole_texts_encode_alike():
-    texts = [*samples.texts(), "it's 'S  <|endoftext|>a<|startoftext|>", "ΑΣ ΑΣΑ x\x85y\x1cz", "é ́x ᄀ ᅡ", "  a b"]
+def test_pieces_and_whole_texts_encode_alike():
+    dice = random.Random(8)
+    mixed = ["".join(dice.choices("aB'1|<>.,_-=\u0301\u0338é ßΣ½²\x1c\x7f٣", k=dice.randint(1, 40))) for _ in range(3000)]
+    texts = [*samples.texts(), *mixed, "it's 'S  <|endoftext|>a<|startoftext|>", "ΑΣ ΑΣΑ x\x85y\x1cz", "é ́x ᄀ ᅡ", "  a b"]
     column = pa.array(texts)
-    one, two = (token_orc.encoded(column, token_orc.Settings(PATH, by_word=b)) for b in (False, True))
+    one, two = (token_orc.encoded(column, token_orc.Settings(PATH, by_piece=b)) for b in (False, True))
     assert (one[0] == two[0]).all() and (one[1] == two[1]).all()
-    few = token_orc.Words(PATH, most=10)  # forgets all the time
+    few = token_orc.Pieces(PATH, most=10)  # forgets all the time
     assert (few.encode(column)[0] == one[0][np.delete(np.arange(len(one[0])), np.cumsum(one[1]) - 1)]).all()
 
 
@@ -224,8 +226,8 @@ def phrase_rows():
         {"least": 6},
         {"least": 6, "share": 10**9},  # no sample: everything is found at the border
         {"least": 20, "share": 2, "proposed": 3, "top": 7, "slice_bytes": 200},
-        {"least": 6, "share": 1, "proposed": 1, "longest": 3},
-        {"least": 6, "most_bits": 1 << 16, "share": 30},
+        {"least": 6, "share": 1, "proposed": 1, "longest": 3, "held": 50, "slice_bytes": 500},
+        {"least": 6, "most_bits": 1 << 16, "share": 30, "spelled": 1000},
     ],
 )
 def test_collocations(spark, options):
@@ -244,11 +246,8 @@ def test_collocations_of_nothing(empty, spark):
 
 
 def test_a_filter_has_what_was_put_in(spark):
-    s = collocations.Settings()
     dice = np.random.default_rng(3)
-    rows = [[int(x) for x in dice.integers(1, 1 << 62, k)] + [0] * (4 - k) for k in (1, 2, 3, 4) for _ in range(500)]
-    table = spark.createDataFrame(rows, "h1 long, h2 long, h3 long, h4 long")
-    f = collocations.filter_of(table, s)
-    batch = table.toArrow().combine_chunks().to_batches()[0]
-    assert all(f.has(keys).all() for _, keys in collocations._phrase_keys(batch))
-    assert f.has(dice.integers(0, 1 << 64, 20_000, dtype=np.uint64)).mean() < 0.05
+    keys = dice.integers(0, 1 << 64, 5_000, dtype=np.uint64)
+    table = spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "key long")
+    f = collocations.filter_of(table, collocations.Settings())
+    assert f.has(keys).all() and f.has(dice.integers(0, 1 << 64, 20_000, dtype=np.uint64)).mean() < 0.05
