@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from recordsieve.llm import ftrl
 from recordsieve.llm.text import mix, shapes, words
 
-SETTINGS = ftrl.Settings(bits=18, passes=2, alpha=0.3, l1=1.0)
+SETTINGS = ftrl.Settings(bits=20, passes=2, alpha=0.3, l1=1.0)
 THRESHOLD = 0.7
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Word n-grams that carry over to words never seen: single words, and runs of 1, 2 and 3 word shapes.
+    """Word n-grams: runs of 1, 2 and 3 words, and, to carry over to words never seen, of 1, 2 and 3 word shapes.
 
     A shape run also tells which of its words equal the one before, so that repetition shows.
     """
@@ -27,15 +27,20 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     doc = np.repeat(np.arange(len(counts)), counts)
     again = np.zeros(n, np.uint64)
     again[1:] = hashes[1:] == hashes[:-1]
-    found, owner, run = [hashes, mix(forms)], [doc, doc], forms
-    for gap in (1, 2):
-        first = place[place + gap < ends]
-        run = mix(run[: len(run)][first] * np.uint64(0x9E6C63D0676A9A99) + forms[first + gap] + again[first + gap])
+    found, owner = [], []
+    for parts, salt in ((hashes, 0x9E6C63D0676A9A99), (forms, 0xC2B2AE3D27D4EB4F)):
+        shape = parts is forms
+        run = mix(parts) if shape else parts
         found.append(run)
-        owner.append(doc[first])
-        whole = np.zeros(n, np.uint64)
-        whole[first] = run
-        run = whole
+        owner.append(doc)
+        for gap in (1, 2):
+            first = place[place + gap < ends]
+            last = parts[first + gap] + again[first + gap] * np.uint64(shape)
+            part = mix(run[first] * np.uint64(salt) + last)
+            found.append(part)
+            owner.append(doc[first])
+            run = np.zeros(n, np.uint64)
+            run[first] = part
     owner = np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
     return np.concatenate(found)[order], np.bincount(owner, minlength=len(counts)).astype(np.int64)
