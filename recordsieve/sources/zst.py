@@ -33,6 +33,7 @@ BATCH_CHARS = 8 * 1024 * 1024
 BLOCK_ROWS = 1024
 BLOCK_CHARS = 1024 * 1024
 PACK_BYTES = 128 * 1024 * 1024
+PACKS_PER_SLOT = 4
 SPLIT_BYTES = 256 * 1024 * 1024
 
 
@@ -188,10 +189,10 @@ def line_batches(chunks: Iterator[str], rows: int = BATCH_ROWS, chars: int = BAT
 
 
 class _Files(InputPartition):
-    """Whole files, or one part of a file."""
+    """What one task reads: whole files, and parts of files (path, begin, end)."""
 
-    def __init__(self, paths: list[str], begin: int = 0, end: int | None = None):
-        self.paths, self.begin, self.end = paths, begin, end
+    def __init__(self, paths: list[str], parts: Sequence[tuple[str, int, int | None]] = ()):
+        self.paths, self.parts = paths, parts
 
 
 class _Reader(DataSourceReader):
@@ -202,17 +203,28 @@ class _Reader(DataSourceReader):
         self.pack_bytes = int(options.get("packBytes", PACK_BYTES))
         self.blocks = options.get("rows") == "blocks"
 
-    def partitions(self):
-        """One big file or part per task, small files packed. Biggest first, so that
-        the longest task is not the last to start."""
+    def __getstate__(self):
+        # Every task gets a copy of the reader, and its own files in its partition: no task needs the lists.
+        return {**self.__dict__, "files": [], "parts": []}
+
+    def _packed(self, sized: list[tuple], most: int) -> list[list]:
         packs, room = [], 0
-        for path, size in sorted(self.files, key=lambda f: (-f[1], f[0])):
+        for thing, size in sized:
             if size > room:
                 packs.append([])
-                room = self.pack_bytes
-            packs[-1].append(path)
+                room = most
+            packs[-1].append(thing)
             room -= size
-        return [_Files([path], begin, end) for path, begin, end in self.parts] + [_Files(paths) for paths in packs]
+        return packs
+
+    def partitions(self):
+        """One big file or part per task; small files are packed, as are small neighbouring parts. Biggest files first,
+        so that the longest task is not the last to start."""
+        files = [(path, size) for path, size in sorted(self.files, key=lambda f: (-f[1], f[0]))]
+        parts = [((path, begin, end), size) for path, begin, end, size in self.parts]
+        # Parts are even, so there are a few packs per slot: one more than slots would take twice the time.
+        runs = self._packed(parts, self.pack_bytes // PACKS_PER_SLOT)
+        return [_Files([], pack) for pack in runs] + [_Files(paths) for paths in self._packed(files, self.pack_bytes)]
 
     def read(self, partition):
         import zlib
@@ -225,11 +237,10 @@ class _Reader(DataSourceReader):
         types = [pa.string(), pa.int64(), pa.int64(), kind, pa.string()]
         schema = pa.schema(list(zip(names, types, strict=True)))
         bounds = (BLOCK_ROWS, BLOCK_CHARS) if self.blocks else (BATCH_ROWS, BATCH_CHARS)
-        part = partition.begin
-        for path in partition.paths:
+        for path, part, end in [*partition.parts, *((path, 0, None) for path in partition.paths)]:
             line_no = 1
             try:
-                data = span_bytes(path, part, partition.end, self.max_window)
+                data = span_bytes(path, part, end, self.max_window)
                 for lines in line_batches(text_chunks(data), *bounds):
                     n = len(lines)
                     if self.blocks:
@@ -305,18 +316,20 @@ def read_zst(
 
     ``(path, part, line_no, line, error)``; lines are numbered within a part, and ``part`` is the place in the file where
     it begins, 0 for files that are read whole. A file that cannot be read to its end adds one row with ``error`` set and
-    ``line`` NULL. Files of ``split_bytes`` or more are divided at frames. With ``blocks`` a row has up to 1024 ``lines``,
+    ``line`` NULL. Files of ``split_bytes`` or more are divided at frames; a task reads several parts if they are small. With ``blocks`` a row has up to 1024 ``lines``,
     and ``line_no`` is the first one's number.
     """
     spark.dataSource.register(ZstLines)
     share = sum(size for _, size in files) // spark.sparkContext.defaultParallelism
     big = [(p, s) for p, s in files if s >= split_bytes]
     small = [[p, int(s)] for p, s in files if s < split_bytes]
+    sizes = dict(big)
+    parts = [(p, a, b, (sizes[p] if b is None else b) - a) for p, a, b in split_files(spark, big, split_bytes)]
     return (
         spark.read.format(FORMAT)
         .option("packBytes", str(min(PACK_BYTES, share)))
         .option("files", json.dumps(small))
-        .option("parts", json.dumps(split_files(spark, big, split_bytes)))
+        .option("parts", json.dumps(parts))
         .option("maxWindow", str(max_window))
         .option("rows", "blocks" if blocks else "lines")
         .load()

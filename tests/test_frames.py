@@ -1,6 +1,8 @@
 """Big files over many tasks, lines across seams, bounded reads."""
 
 import gzip
+import json
+import pickle
 import random
 
 import pytest
@@ -82,6 +84,19 @@ def test_one_file_feeds_many_tasks(spark, tmp_path):
         numbers[r.part] = r.line_no
 
 
+def test_many_small_parts_share_a_task(spark, tmp_path):
+    """Tasks follow the bytes and the slots, not the number of parts, and a task carries its own parts only."""
+    file, lines = multi_frame(tmp_path / "a.zst", 2000)
+    found = read_zst(spark, [file], split_bytes=1)
+    assert found.select("part").distinct().count() > 1000
+    assert found.rdd.getNumPartitions() <= 5 * spark.sparkContext.defaultParallelism
+    assert [r.line for r in found.orderBy("part", "line_no").collect()] == lines
+    reader = zst._Reader({"files": "[]", "parts": json.dumps([["a", i, i + 1, 1] for i in range(9999)]), "packBytes": "400"})
+    packs = reader.partitions()
+    assert len(packs) == 100 and [x for p in packs for x in p.parts] == [("a", i, i + 1) for i in range(9999)]
+    assert len(pickle.dumps(reader)) < 1000
+
+
 def test_blocks_hold_the_same_lines(spark, tmp_path):
     file, lines = multi_frame(tmp_path / "a.zst", 3)
     broken = pack(tmp_path / "cut.zst", "x\n" * 10, finish=False)
