@@ -3,10 +3,10 @@
 Every coordinate has its own learning rate, and L1 keeps the weights of features that tell little at exactly 0. What is
 left is a short list of (feature, weight), which is broadcast for scoring (at most 2^bits entries of 12 bytes).
 
-Training uses at most `max_rows` labelled rows, those with the smallest hash of their id; this bound is a parameter.
-They are chosen before any text is read.
-Their features are extracted in parallel. The updates are made one after the other, in hash order, by one task; it reads
-a bounded number of rows of at most 2^bits features each.
+Training uses all labelled rows. They are dealt by a hash of their ids into shards of about `max_rows` rows, as many as it
+takes; each shard is learned by one task, update after update in hash order, so a task reads a bounded number of rows of
+at most 2^bits features each. The shards' weights are averaged: each coordinate by the sum of squared slopes that a
+shard has seen of it, so that a shard that never met a feature has no say in it. One shard's weights stay as they are.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordsieve.llm.text import slices
+from recordsieve.operators.membership import bounded
 from recordsieve.session import work_dir, written
 
 #: Of a text column: hashes of all features of all texts, and the number of each text's.
@@ -72,54 +73,83 @@ class Learner:
         w = self.weights(np.arange(len(self.z)))
         return (kept := np.flatnonzero(w)).astype(np.uint32), w[kept].astype(np.float64)
 
+    def seen(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number, weight and sum of squared slopes of each coordinate that an example had."""
+        kept = np.flatnonzero(self.n)
+        return kept, self.weights(kept), self.n[kept]
+
 
 def train(labels: DataFrame, texts: DataFrame, features: Features, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers and weights, learned from `labels` (id, label) and `texts` (id, text).
 
-    The sample is chosen from ids and labels alone; its ids, `max_rows` at most, are broadcast, and one scan of the texts
-    makes their features where they are. No text is shuffled. Rows with a NULL label or id, or an id without a text, are
-    left out; a NULL text is empty. Each labelled row is one example: an id that has several texts stands for the one
-    with the smallest hash. Without rows, or with one label only, the score is the share of label 1 (0.5 without rows)
-    that the constant term has reached.
+    Labelled rows that have a text are found by their ids; only their texts are sent to their shards. Rows with a NULL
+    label or id, or an id without a text, are left out; a NULL text is empty. Each labelled row is one example: an id that
+    has several texts stands for the one with the smallest hash. Without rows, or with one label only, the score is the
+    share of label 1 (0.5 without rows) that the constant term has reached.
     """
     s = settings
-    order = F.xxhash64(F.col("id").cast("string"), F.lit(s.seed))
     known = labels.where("label IS NOT NULL AND id IS NOT NULL").select("id", F.col("label").cast("int").alias("label"))
-    chosen = known.join(texts.select("id"), "id", "left_semi").withColumn("turn", order)
-    bits = s.bits
+    chosen = known.join(texts.select("id"), "id", "left_semi")
+    names = ("shard", "turn", "label", "number", "pick")
 
-    def extract(batches):
-        for batch in slices(batches, "text", 2 << 20):
-            found = [x.tobytes() for x in presence(features, batch.column("text"), bits)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("turn", "label", "number", "pick")), pa.array(found, pa.binary())],
-                ["turn", "label", "number", "pick", "found"],
-            )
-
-    def learn(batches):
-        examples = []
-        for batch in batches:
-            found = [np.frombuffer(x.as_py(), np.uint32) for x in batch.column("found")]
-            examples += zip(batch.column("turn").to_pylist(), batch.column("label").to_pylist(), found, strict=True)
-        examples.sort(key=lambda x: (x[0], x[1], x[2].tobytes()))
+    def learned(examples):
+        """Examples by number: (pick, turn, label, features)."""
         learner = Learner(s)
+        found = [(turn, label, np.frombuffer(x, np.uint32)) for _, turn, label, x in examples.values()]
+        found.sort(key=lambda x: (x[0], x[1], x[2].tobytes()))
         for _ in range(s.passes):
-            for _, label, found in examples:
-                learner.learn(found, label)
-        numbers, weights = learner.model()
+            for _, label, numbers in found:
+                learner.learn(numbers, label)
+        columns = zip(learner.seen(), (pa.int64(), pa.float64(), pa.float64()), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in columns], ["number", "weight", "n"])
+
+    def learn(batches):
+        shard, examples = None, {}
+        for batch in slices(batches, "text", 1 << 20):
+            parts = presence(features, batch.column("text"), s.bits)
+            rows = zip(*(batch.column(c).to_pylist() for c in names), parts, strict=True)
+            for own, turn, label, number, pick, part in rows:
+                if own != shard and examples:
+                    yield learned(examples)
+                    examples = {}
+                shard = own
+                if number not in examples or pick < examples[number][0]:
+                    examples[number] = pick, turn, label, part.tobytes()
+        if examples:
+            yield learned(examples)
+
+    def pack(batches):
+        rows = [b for b in batches if b.num_rows]
+        numbers, weights = (
+            np.concatenate([np.zeros(0), *(b.column(c).to_numpy() for b in rows)]) for c in ("number", "weight")
+        )
+        order = np.argsort(numbers)
+        numbers, weights = numbers[order].astype(np.uint32), weights[order]
         yield pa.RecordBatch.from_arrays(
             [pa.array([numbers.tobytes()]), pa.array([weights.tobytes()])], ["numbers", "weights"]
         )
 
     store = work_dir(texts.sparkSession, "ftrl")
-    chosen = chosen.orderBy("turn", "id", "label").limit(s.max_rows)
-    chosen = written(chosen.withColumn("number", F.monotonically_increasing_id()), f"{store}/sample")
-    rows = texts.select("id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
-    rows = rows.select("turn", "label", "number", F.xxhash64("text").alias("pick"), "text")
-    table = rows.mapInArrow(extract, "turn bigint, label int, number bigint, pick bigint, found binary")
-    one = table.groupBy("number").agg(F.min(F.struct("pick", "turn", "label", "found")).alias("x")).select("x.*")
-    table = written(one.select("turn", "label", "found"), f"{store}/features")
-    row = table.coalesce(1).mapInArrow(learn, "numbers binary, weights binary").first()
+    chosen = written(chosen.withColumn("number", F.monotonically_increasing_id()), f"{store}/labelled")
+    shards = max(1, -(-chosen.count() // s.max_rows))
+    rows = texts.select("id", F.coalesce("text", F.lit("")).alias("text")).join(bounded(chosen), "id")
+    rows = rows.select(
+        F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(s.seed + 1)), F.lit(shards)).alias("shard"),
+        F.xxhash64(F.col("id").cast("string"), F.lit(s.seed)).alias("turn"),
+        "label",
+        "number",
+        F.xxhash64("text").alias("pick"),
+        "text",
+    )
+    dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard")
+    models = written(dealt.mapInArrow(learn, "number bigint, weight double, n double"), f"{store}/models")
+    if shards > 1:
+        # Added up in one order, whichever shard comes first.
+        seen = models.groupBy("number").agg(F.array_sort(F.collect_list(F.struct("n", "weight"))).alias("x"))
+        total = "aggregate(x, 0D, (a, y) -> a + y.n * y.weight) / aggregate(x, 0D, (a, y) -> a + y.n)"
+        models = seen.selectExpr("number", f"{total} AS weight")
+    some = models.where("weight <> 0").select("number", "weight")
+    row = some.coalesce(1).mapInArrow(pack, "numbers binary, weights binary").first()
     return np.frombuffer(row.numbers, np.uint32), np.frombuffer(row.weights, np.float64)
 
 
@@ -131,7 +161,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], features: Featu
         numbers, weights = shared.value  # short and sparse; each task lays them out for itself
         w = np.zeros((1 << bits) + 1, np.float32)
         w[numbers] = weights
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             hashes, sizes = features(batch.column("text"))
             spots = (hashes >> np.uint64(64 - bits)).astype(np.int64)
             hit = np.flatnonzero(w[spots])

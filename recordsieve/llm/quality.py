@@ -52,7 +52,7 @@ def quality(
     """(doc_id, score, predicted) for every row of `docs` (doc_id, text, ...).
 
     `labelled` has (id, label) and `texts` (id, text); without `texts`, `labelled` has a column text itself. Label 1 is
-    for good texts; at most `settings.max_rows` of them are used, see `ftrl.train`. Every copy of a row is scored. NULL and
+    for good texts; all of them are used, see `ftrl.train`. Every copy of a row is scored. NULL and
     empty texts get the score of a text without features. Other columns are not read.
     """
     model = ftrl.train(labelled, labelled if texts is None else texts, features, settings)

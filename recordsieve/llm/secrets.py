@@ -5,9 +5,8 @@ them; places are their running sums, made per document in rows, so a text with v
 documents with finds take part in that.
 
 The models are first-order character chains of random strings and of ordinary identifiers. They are trained from labelled
-samples: random strings are what the fixed formats find, and digests of document ids in base64 and hex; ordinary
-identifiers are the other long words. Both come from a bounded sample of `sample` documents (by hash of the id). A run of
-`shortest` characters or more is a secret if its mean log-likelihood ratio per character reaches `margin`. The ratios are
+examples: random strings are what the fixed formats find, and digests of document ids in base64 and hex; ordinary
+identifiers are the other long words. Both come from all documents. A run of `shortest` characters or more is a secret if its mean log-likelihood ratio per character reaches `margin`. The ratios are
 a literal of at most 67 * 67 numbers.
 """
 
@@ -33,11 +32,9 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
 @dataclass(frozen=True)
 class Settings:
-    sample: int = 4000
     shortest: int = 20
     margin: float = 1.0
     smoothing: float = 0.5
-    seed: int = 41
 
 
 def _patterns(s: Settings) -> dict[str, str]:
@@ -52,11 +49,13 @@ def _value(found: Column) -> Column:
     return F.regexp_extract(found, ASSIGN, 1)
 
 
-def train(docs: DataFrame, s: Settings, store: str) -> list[float]:
-    """Log-likelihood ratios, random over ordinary, of every character after every other, row by row of ALPHABET."""
-    ids = docs.select("doc_id", F.xxhash64("doc_id", F.lit(s.seed)).alias("turn")).orderBy("turn", "doc_id").limit(s.sample)
-    ids = written(ids.select("doc_id").distinct(), f"{store}/sample")
-    texts = docs.join(F.broadcast(ids), "doc_id")
+def train(docs: DataFrame, s: Settings) -> list[float]:
+    """Log-likelihood ratios, random over ordinary, of every character after every other, row by row of ALPHABET.
+
+    Rows without a doc_id are left out.
+    """
+    texts = docs.where("doc_id IS NOT NULL")
+    ids = texts.select("doc_id").distinct()
     digest = F.sha2(F.col("doc_id").cast("string"), 256)
     made = ids.select(F.explode(F.array(F.base64(F.unhex(digest)), digest)).alias("word"), F.lit(1).alias("random"))
     values = F.concat(F.transform(_found(ASSIGN), _value), _found(ACCESS), _found(HEX))
@@ -98,7 +97,7 @@ def spans(docs: DataFrame, settings: Settings = Settings(), keep: tuple[str, ...
     """Rows of `docs` as (row, doc_id, kept_0, ...), and their spans as (row, kind, kind_no, start, end)."""
     s, store = settings, work_dir(docs.sparkSession, "secrets")
     named = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)])
-    ratios = train(named.select("doc_id", "text"), s, store)
+    ratios = train(named.select("doc_id", "text"), s)
     patterns = _patterns(s)
     columns = []
     for kind, pattern in patterns.items():

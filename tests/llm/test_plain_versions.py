@@ -7,10 +7,11 @@ import struct
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
-from recordsieve.llm import decontaminate, ftrl, ngram_lm, warc
+from recordsieve.llm import decontaminate, ftrl, ngram_lm, toxicity, warc
 
 # --- language model ---
 
@@ -166,6 +167,26 @@ def test_a_record_that_could_not_be_read_is_not_written():
         warc.record(1, None, "x" * 10_000, None, warc.Settings(largest=8_000))
 
 
+def test_all_labelled_rows_are_learned_from(spark):
+    """Each feature is seen in one row only, so a row that is left out leaves its feature without a weight."""
+    s = ftrl.Settings(bits=20, max_rows=7, passes=3, alpha=1.0, l1=0.0, l2=0.0)
+    texts = [(k, f"{('good', 'bad')[k % 2]} w{k}") for k in range(40)]
+    docs = spark.createDataFrame([*texts, (3, "aaa"), (41, None)], "id bigint, text string").repartition(3)
+    rows = [(k, k % 2) for k, _ in texts]
+    labels = spark.createDataFrame([*rows, (41, 1), (99, 1), (None, 1), (5, None)], "id bigint, label int")
+
+    def learned():
+        return ftrl.train(labels, docs, toxicity.features, s)
+
+    numbers, weights = learned()
+    w = dict(zip(numbers.tolist(), weights.tolist(), strict=True))
+    hashes, _ = toxicity.features(pa.array([t.split()[1] for k, t in texts if k != 3]))
+    own = [w.get(int(h >> np.uint64(64 - s.bits)), 0.0) for h in hashes]
+    assert all((x > 0) == (k % 2 == 1) and x for x, k in zip(own, (k for k, _ in texts if k != 3), strict=True))
+    again = learned()
+    assert (again[0] == numbers).all() and (again[1] == weights).all()
+
+
 # --- decontamination ---
 
 
