@@ -21,6 +21,7 @@ import os
 import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -68,7 +69,42 @@ def _tokenizer(path: str):
 def _encode(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     found = [x.ids for x in _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
     sizes = np.fromiter(map(len, found), np.int64, len(found))
-    return np.fromiter((i for x in found for i in x), np.int32, int(sizes.sum())), sizes
+    return np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
+
+
+#: So many pieces are encoded as one text.
+JOINED = 200
+
+
+def _word_ends(path: str) -> np.ndarray | None:
+    """Whether each id ends a word, of a tokenizer that marks those by a suffix; None of any other."""
+    if ("ends", path) not in _loaded:
+        suffix, vocabulary = getattr(_tokenizer(path).model, "end_of_word_suffix", None), _tokenizer(path).get_vocab()
+        ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        _loaded["ends", path] = ends if suffix else None
+    return _loaded["ends", path]
+
+
+def _encode_words(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The same for runs of letters, by a tokenizer that drops white space: many at a time, parted where words end.
+
+    Each piece has one such end at least, so if there are as many ends as pieces, each has one. Otherwise the pieces of
+    a group are encoded one by one.
+    """
+    ends = _word_ends(path)
+    if ends is None:
+        return _encode(path, texts)
+    groups = [texts[i : i + JOINED] for i in range(0, len(texts), JOINED)]
+    joined, lengths = _encode(path, [" ".join(g) for g in groups])
+    ids, sizes = [], []
+    for group, part in zip(groups, np.split(joined, np.cumsum(lengths)[:-1]), strict=True):
+        size = np.diff(np.flatnonzero(ends[part]), prepend=-1)
+        if len(size) != len(group) or int(size.sum()) != len(part):
+            part, size = _encode(path, group)
+        ids.append(part)
+        sizes.append(size)
+    return np.concatenate(ids), np.concatenate(sizes).astype(np.int64)
 
 
 def _classes() -> np.ndarray:
@@ -85,42 +121,69 @@ def _classes() -> np.ndarray:
 class Pieces:
     """Ids of pieces seen before, by the pieces' hashes: a piece is encoded by the library once for each worker.
 
-    `most` pieces are remembered at a time (about 30 bytes each); beyond that the list begins anew.
+    `most` pieces are remembered at a time (about 30 bytes each); beyond that the list begins anew. Nearly all pieces are
+    found at one look into a table by the first `bits` bits of their hashes; only those whose place another piece has
+    taken, and new ones, are sorted and looked up in the list.
     """
 
-    def __init__(self, path: str, most: int = 1 << 21):
-        self.path, self.most, self.classes = path, most, _classes()
+    def __init__(self, path: str, most: int = 1 << 21, bits: int = 20):
+        self.path, self.most, self.classes, self.shift = path, most, _classes(), np.uint64(64 - bits)
+        self.size = 1 << bits
         self.clear()
 
     def clear(self) -> None:
+        self.taken, self.entry = np.zeros(self.size, np.uint64), np.full(self.size, -1, np.int32)
         self.known, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes, and whose ids they have
         self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        ids, sizes = _encode(self.path, texts)
+        plain = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+        order = np.argsort(~plain, kind="stable")
+        n, hashes = int(plain.sum()), hashes[order]
+        parts = [_encode_words(self.path, [texts[i] for i in order[:n].tolist()])] if n else []
+        parts += [_encode(self.path, [texts[i] for i in order[n:].tolist()])] if n < len(texts) else []
+        ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
         number = len(self.ends) - 1 + np.arange(len(hashes))
         self.ids = np.concatenate([self.ids, ids])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        back = np.argsort(hashes)
+        hashes, number = hashes[back], number[back]
         at = np.searchsorted(self.known, hashes)
         self.known, self.number = np.insert(self.known, at, hashes), np.insert(self.number, at, number)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         hashes, counts, begins, stops = words(column, spans=True, classes=self.classes)
         data, _ = buffers(column)
+        place = (hashes >> self.shift).astype(np.int64)
+        entry = self.entry[place]
+        rest = np.flatnonzero((self.taken[place] != hashes) | (entry < 0))
+        if len(rest):
+            entry[rest], cleared = self._entries(hashes[rest], begins[rest], stops[rest], data)
+            if cleared:  # entries found before are no longer there
+                return self.encode(column)
+        begin, size = self.ends[entry], self.ends[entry + 1] - self.ends[entry]
+        ends = np.cumsum(size)
+        spot = np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))
+        upto = np.concatenate([np.zeros(1, np.int64), ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return self.ids[spot], np.diff(upto)
+
+    def _entries(self, hashes, begins, stops, data) -> tuple[np.ndarray, bool]:
+        """The entries of pieces that the table does not have, and whether the list has begun anew."""
         kinds, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) + len(kinds) > self.most:
+        cleared = bool(len(self.known)) and len(self.known) + len(kinds) > self.most
+        if cleared:
             self.clear()
         new = kinds[~np.isin(kinds, self.known, assume_unique=True)] if len(self.known) else kinds
         if len(new):
             at = first[np.searchsorted(kinds, new)]
             places = zip(begins[at].tolist(), stops[at].tolist(), strict=True)
             self._learn(new, [data[a:b].tobytes().decode() for a, b in places])
-        entry = self.number[np.searchsorted(self.known, kinds)][kind]
-        begin, size = self.ends[entry], self.ends[entry + 1] - self.ends[entry]
-        ends = np.cumsum(size)
-        place = np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))
-        upto = np.concatenate([np.zeros(1, np.int64), ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return self.ids[place], np.diff(upto)
+        entries = self.number[np.searchsorted(self.known, kinds)]
+        place = (kinds >> self.shift).astype(np.int64)
+        free = np.flatnonzero(self.entry[place] < 0)
+        spots, pick = np.unique(place[free], return_index=True)
+        self.taken[spots], self.entry[spots] = kinds[free[pick]], entries[free[pick]]
+        return entries[kind], cleared
 
 
 def encoded(column: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +213,7 @@ def write_tokens(docs: DataFrame, store: str, settings: Settings) -> str:
 
     def encode(batches):
         start = 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             ids, sizes = encoded(batch.column("text"), s)
             ends = np.cumsum(sizes)
             yield pa.RecordBatch.from_arrays(

@@ -109,6 +109,24 @@ def test_pieces_and_whole_texts_encode_alike():
     assert (few.encode(column)[0] == one[0][np.delete(np.arange(len(one[0])), np.cumsum(one[1]) - 1)]).all()
 
 
+def test_pieces_that_share_a_place_and_are_encoded_together(monkeypatch):
+    """Any size of the table gives the same ids, and new pieces go to the tokenizer many at a time."""
+    dice = random.Random(5)
+    words = ["".join(dice.choices("abcdeéßж", k=dice.randint(1, 9))) for _ in range(3000)]
+    texts = [" ".join(dice.choices([*words, "İx", "'s", "7", "--", "ǰq"], k=40)) for _ in range(200)]
+    column = pa.array([*texts, *texts])
+    want, sizes = token_orc._encode(PATH, [*texts, *texts])
+    given = []
+    encode = token_orc._encode
+    monkeypatch.setattr(token_orc, "_encode", lambda path, texts: given.append(len(texts)) or encode(path, texts))
+    for bits in (2, 20):
+        memory = token_orc.Pieces(PATH, bits=bits)
+        for _ in range(2):
+            got = memory.encode(column)
+            assert (got[0] == want).all() and (got[1] == sizes).all()
+    assert sum(given) < 2000
+
+
 def test_tokens_of_no_rows(spark, empty, tmp_path):
     assert token_orc.token_store(empty, str(tmp_path / "none"), token_orc.Settings(PATH)).count() == 0
     assert token_orc.read_range(spark, str(tmp_path / "none"), 0, 9).count() == 0
