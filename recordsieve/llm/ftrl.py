@@ -7,6 +7,7 @@ Training uses all labelled rows. They are dealt by a hash of their ids into shar
 takes; each shard is learned by one task, update after update in hash order, so a task reads a bounded number of rows of
 at most 2^bits features each. The shards' weights are averaged: each coordinate by the sum of squared slopes that a
 shard has seen of it, so that a shard that never met a feature has no say in it. One shard's weights stay as they are.
+Only features to which some shard gives a weight are shuffled for that, a small part of what the shards have seen.
 """
 
 from __future__ import annotations
@@ -79,6 +80,19 @@ class Learner:
         return kept, self.weights(kept), self.n[kept]
 
 
+def averaged(models: DataFrame, store: str) -> DataFrame:
+    """(number, weight): the average of the shards' (number, weight, n), of the numbers that have a weight in any shard.
+
+    Without a weight in every shard a number has none on average either; those rows, most of a model, are not shuffled.
+    """
+    some = written(models.where("weight <> 0").select("number").distinct(), store)
+    rows = models.join(bounded(some), "number", "left_semi")
+    # Added up in one order, whichever shard comes first.
+    seen = rows.groupBy("number").agg(F.array_sort(F.collect_list(F.struct("n", "weight"))).alias("x"))
+    total = "aggregate(x, 0D, (a, y) -> a + y.n * y.weight) / aggregate(x, 0D, (a, y) -> a + y.n)"
+    return seen.selectExpr("number", f"{total} AS weight")
+
+
 def train(labels: DataFrame, texts: DataFrame, features: Features, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers and weights, learned from `labels` (id, label) and `texts` (id, text).
 
@@ -100,7 +114,7 @@ def train(labels: DataFrame, texts: DataFrame, features: Features, settings: Set
         for _ in range(s.passes):
             for _, label, numbers in found:
                 learner.learn(numbers, label)
-        columns = zip(learner.seen(), (pa.int64(), pa.float64(), pa.float64()), strict=True)
+        columns = zip(learner.seen(), (pa.int32(), pa.float64(), pa.float64()), strict=True)
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in columns], ["number", "weight", "n"])
 
     def learn(batches):
@@ -142,12 +156,9 @@ def train(labels: DataFrame, texts: DataFrame, features: Features, settings: Set
         "text",
     )
     dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard")
-    models = written(dealt.mapInArrow(learn, "number bigint, weight double, n double"), f"{store}/models")
+    models = written(dealt.mapInArrow(learn, "number int, weight double, n double"), f"{store}/models")
     if shards > 1:
-        # Added up in one order, whichever shard comes first.
-        seen = models.groupBy("number").agg(F.array_sort(F.collect_list(F.struct("n", "weight"))).alias("x"))
-        total = "aggregate(x, 0D, (a, y) -> a + y.n * y.weight) / aggregate(x, 0D, (a, y) -> a + y.n)"
-        models = seen.selectExpr("number", f"{total} AS weight")
+        models = averaged(models, f"{store}/weighted")
     some = models.where("weight <> 0").select("number", "weight")
     row = some.coalesce(1).mapInArrow(pack, "numbers binary, weights binary").first()
     return np.frombuffer(row.numbers, np.uint32), np.frombuffer(row.weights, np.float64)

@@ -12,6 +12,7 @@ import pytest
 import zstandard
 
 from recordsieve.llm import decontaminate, ftrl, ngram_lm, toxicity, warc
+from recordsieve.session import written
 
 # --- language model ---
 
@@ -190,6 +191,28 @@ def test_all_labelled_rows_are_learned_from(spark):
 # --- decontamination ---
 
 
+def _shuffled_rows(df):
+    """What the exchanges of a frame that has been collected have written."""
+    plan, total = df._jdf.queryExecution().executedPlan().executedPlan(), 0
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "ShuffleQueryStage":
+            total += node.shuffle().metrics().apply("shuffleRecordsWritten").value()
+        todo += [node.plan()] if node.nodeName().endswith("QueryStage") else []
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_only_numbers_that_have_a_weight_are_shuffled(spark, tmp_path):
+    rows = [(number, shard / 8 if number % 50 < shard else 0.0, 1.0 + shard) for number in range(1000) for shard in range(3)]
+    models = written(spark.createDataFrame(rows, "number int, weight double, n double"), str(tmp_path / "models"))
+    found = ftrl.averaged(models, str(tmp_path / "weighted"))
+    plain = {k: sum(w * n for x, w, n in rows if x == k) / 6 for k in range(1000)}
+    assert {r.number: r.weight for r in found.collect()} == {k: w for k, w in plain.items() if w}
+    assert 0 < _shuffled_rows(found) <= 120  # of 3000: three shards' rows of the 40 numbers that have a weight
+
+
 def test_the_space_does_not_depend_on_which_documents_are_there(spark):
     """Cosines change with document frequencies only, not with documents that happen to be drawn."""
     dice = random.Random(9)
