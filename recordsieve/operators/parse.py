@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordsieve.functions.names import unused
 from recordsieve.functions.text import strip
 from recordsieve.specs import BAD_LINES
 
@@ -34,8 +35,9 @@ def parse_records(
     put into an envelope whose end mark must be found again: the mark is a hash
     of the line, which a line cannot sensibly contain itself.
 
-    The parse sits inside a generator. Its output is a plain attribute to the
-    optimizer, so no later filter or projection can repeat the parse.
+    The parse is a projection, which is compiled; a generator would interpret it.
+    Its result goes through a generator, whose output is a plain attribute to
+    the optimizer, so no later filter or projection can repeat the parse.
     """
     if not stripped:
         lines = lines.withColumn(line, F.expr(strip(line)))
@@ -47,16 +49,16 @@ def parse_records(
         _OPTIONS,
     )
 
-    def whole(e):
-        return (
-            text.startswith("{")
-            & (e["end"] == end)
-            & (F.size(e["r"]) == 1)
-            & e["r"][0].isNotNull()
-        )
-
-    valid = F.flatten(F.transform(F.filter(F.array(envelope), whole), lambda e: e["r"]))
-    return lines.select("*", F.explode_outer(valid).alias(into))
+    name = unused("envelope", [*lines.columns, into])
+    records = F.col(name)["r"]
+    whole = (
+        text.startswith("{")
+        & (F.col(name)["end"] == end)
+        & (F.size(records) == 1)
+        & records[0].isNotNull()
+    )
+    parsed = lines.withColumn(name, envelope).withColumn(name, F.when(whole, records))
+    return parsed.select("*", F.explode_outer(name).alias(into)).drop(name)
 
 
 def parse_where(

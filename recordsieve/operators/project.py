@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordsieve.functions import coerce as to
 from recordsieve.functions import text
+from recordsieve.functions.names import unused
 from recordsieve.specs import (
     BIGINT, BOOLEAN, DOUBLE, ENUM, JSON, RAW, STRING, TEXT, TIMESTAMP, RecordSpec,
 )
@@ -67,8 +68,11 @@ def staged(judged: DataFrame, spec: RecordSpec, null_text: str = "") -> DataFram
     """
     columns = typed_columns(spec, "record", null_text, exact=True)
     typed = ", ".join(f"{value} AS `{name}`" for name, (_, value) in columns.items())
-    # A generator's output is a plain attribute: what follows cannot repeat the coercions.
-    out = judged.select("*", F.explode(F.array(F.expr(f"CASE WHEN record IS NOT NULL THEN struct({typed}) END"))).alias("out"))
+    # A projection is compiled; a generator would interpret the coercions. It only passes their result on: its output is a
+    # plain attribute, so what follows cannot repeat them.
+    name = unused("coerced", judged.columns)
+    out = judged.withColumn(name, F.expr(f"CASE WHEN record IS NOT NULL THEN struct({typed}) END"))
+    out = out.select("*", F.explode(F.array(name)).alias("out"))
     lost = ", ".join(
         f"CASE WHEN {columns[name][0]} IS NOT NULL AND out.`{name}` IS NULL"
         f" THEN struct('{name}' AS col, {columns[name][0]} AS value) END"

@@ -96,6 +96,15 @@ def test_generated_methods_are_small_enough_to_compile(spark, tmp_path, capsys):
         assert all(n < 8_000 for n in sizes)
 
 
+def test_generators_are_not_given_the_work(spark):
+    """What a generator gets is interpreted: of a run, the coercions and the parse for keys are projections below one."""
+    judged = judge(lines_df(spark, [LINE]), COMMENTS, *lists(spark), stripped=True)
+    generates = [row for row in optimized_plan(staged(judged, COMMENTS)).splitlines() if "Generate" in row]
+    assert len(generates) == 3
+    assert not [row for row in generates if "struct(" in row or "xxhash64" in row]
+    assert len([row for row in generates if "from_json" in row]) == 1  # of the lines that pass the lists
+
+
 def test_rows_of_single_keys_do_not_move(spark):
     """Only possible repeats are aggregated; what is broadcast to find them has a bound."""
     df = spark.createDataFrame([(i, f"k{i % 50 if i < 100 else i}") for i in range(300)], "i int, key string")
