@@ -5,7 +5,8 @@
 3. Classes that share a band key form a bucket. Not all pairs of a bucket are compared: first each member with the
    bucket's smallest; then, where a bucket still holds several components, each member with up to 16 central members;
    then members that are still in different components. Pairs that are connected already need no check, so no component
-   is lost, and there is no cap on a bucket. From the second step on, pairs are left out that cannot reach the threshold:
+   is lost, and there is no cap on a bucket. Links found by a step are between components of the steps before, so only
+   those are connected anew; steps without open buckets, and components without new links, are left out. From the second step on, pairs are left out that cannot reach the threshold:
    a shingle that no other open member has is in no overlap, so the number of a member's other shingles bounds it.
    Central members are those with the fewest such shingles, like the text that copies derive from.
    The last step divides the shingles of open members into frequent ones and rare ones (at most `rare` members have
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from recordsieve.llm.components import components
 from recordsieve.llm.text import minima, mix, per_text, random_words, shingles, slices, words
-from recordsieve.session import remove, work_dir, written
+from recordsieve.session import collect_garbage, remove, work_dir, written
 
 
 @dataclass(frozen=True)
@@ -165,15 +166,18 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     classes = written(filled.groupBy("digest").agg(F.min("doc_id").alias("class_id")), f"{store}/classes")
 
     firsts = filled.join(classes, [filled.digest == classes.digest, filled.doc_id == classes.class_id], "left_semi")
+    firsts = written(firsts.select("doc_id", "n_shingles", "signature", "bands"), f"{store}/firsts")
     keyed = firsts.select("doc_id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")).distinct()
     shared = keyed.groupBy("bucket").agg(F.count("*").alias("members"), F.min("doc_id").alias("first"))
     # Written first, as a join with an aggregate of its own other side could not split a hot bucket.
     shared = written(shared.where("members > 1"), f"{store}/shared")
     members = written(keyed.join(shared, "bucket"), f"{store}/members")
+    collect_garbage(spark)
     wanted = members.select("doc_id").distinct()
     signatures = written(firsts.join(wanted, "doc_id", "left_semi").select("doc_id", "signature"), f"{store}/signatures")
     texts = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "text")
     sets = written(shingle_sets(texts, s.width), f"{store}/sets")
+    collect_garbage(spark)
 
     def near_size(a: str, b: str):
         return F.expr(f"100 * least({a}, {b}) >= {s.percent} * greatest({a}, {b})")
@@ -185,68 +189,94 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         ordered = pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
         return written(verified(ordered, signatures, sets, s), f"{store}/links-{step}")
 
-    def open_members(links: DataFrame, step: int) -> DataFrame:
-        """Members of buckets that hold more than one component: (bucket, doc_id, n, first, comp)."""
-        found = components(links)
-        named = members.join(found, members.doc_id == found.node, "left").select(
-            "bucket", "doc_id", "n", "first", F.coalesce("component", "doc_id").alias("comp")
-        )
+    def open_members(named: DataFrame, step: int) -> DataFrame:
+        """Those of the members (bucket, doc_id, n, first, comp, ...) whose buckets hold more than one component."""
         spans = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
         mixed = written(spans.where("low < high").select("bucket"), f"{store}/mixed-{step}")
         return written(named.join(mixed, "bucket", "left_semi"), f"{store}/open-{step}")
 
+    def joining(links: DataFrame, left: DataFrame) -> DataFrame | None:
+        """(node, component) of the components of `left` that `links` join; None without links."""
+        collect_garbage(spark)
+        if links.isEmpty():
+            return None
+        names = left.select("doc_id", "comp").distinct()
+        one = names.select(F.col("doc_id").alias("u"), F.col("comp").alias("x"))
+        two = names.select(F.col("doc_id").alias("v"), F.col("comp").alias("y"))
+        return components(links.join(one, "u").join(two, "v").select(F.col("x").alias("u"), F.col("y").alias("v")))
+
+    def renamed(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+        """The rows, comp being what it has become in `found`."""
+        if found is None:
+            return rows
+        names = rows.columns
+        rows = rows.join(found, rows.comp == found.node, "left").withColumn("comp", F.coalesce("component", "comp"))
+        return rows.select(*names)
+
     # Every member with its bucket's smallest. Members that are left have been compared with it.
     sizes = members.where("doc_id = first").select("bucket", F.col("n").alias("m"))
     pairs = members.where("doc_id <> first").join(sizes, "bucket").where(near_size("n", "m"))
     links = checked(pairs.select(F.col("doc_id").alias("a"), F.col("first").alias("b")), 1)
+    collect_garbage(spark)
+    found = [components(links)]
 
-    # Every member with up to 16 others in other components.
-    left = open_members(links, 2)
-    opened = sets.join(left.select("doc_id").distinct(), "doc_id", "left_semi")
-    rare = written(_rare_items(opened, s.rare), f"{store}/rare")
-    counts = rare.groupBy("doc_id").agg(F.count("*").alias("n_rare"), F.count_if(F.col("f") == 1).alias("own"))
-    counts = written(counts, f"{store}/counts")
-
-    def bounded(left: DataFrame) -> DataFrame:
-        """With n_rare, and how many shingles are common (to two members or more) and frequent."""
-        known = left.join(counts, "doc_id", "left").fillna(0, ["n_rare", "own"])
-        return known.withColumn("common", F.col("n") - F.col("own")).withColumn("frequent", F.col("n") - F.col("n_rare"))
-
-    left = written(bounded(left), f"{store}/bounded").where("doc_id <> first")
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(s.salts))
-    heads = left.groupBy("bucket", salt.alias("salt")).agg(
-        F.min(F.struct("own", "doc_id", "n", "common", "comp")).alias("head")
-    )
-    heads = written(heads.select("bucket", "head"), f"{store}/heads")
-    pairs = left.join(heads, "bucket").where(
-        (F.col("comp") != F.col("head.comp")) & can_link("n", "common", "head.n", "head.common")
-    )
-    links = written(
-        links.unionAll(checked(pairs.select(F.col("doc_id").alias("a"), F.col("head.doc_id").alias("b")), 2)),
-        f"{store}/links-12",
-    )
-
-    # Every pair that is left: those that could be alike by frequent shingles alone, and those that share a rare one.
-    is_head = heads.select("bucket", F.col("head.doc_id").alias("doc_id"))
-    left = written(bounded(open_members(links, 3)), f"{store}/left")
-    alike = left.where(F.expr(f"doc_id <> first AND 100 * frequent >= {s.percent} * n"))
-    alike = alike.join(is_head, ["bucket", "doc_id"], "left_anti").select(
-        "bucket", F.struct("doc_id", "n", "frequent", "comp").alias("x")
-    )
-    pairs = alike.join(alike.withColumnRenamed("x", "y"), "bucket").where(
-        (F.col("x.comp") < F.col("y.comp")) & can_link("x.n", "x.frequent", "y.n", "y.frequent")
-    )
-    pairs = pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-    each = left.select("doc_id", "n", "n_rare", "comp").distinct()
-    first = written(_rarest(rare, each, s.percent), f"{store}/rarest").select("item", F.struct("doc_id", "n", "comp").alias("x"))
-    sharing = first.join(first.withColumnRenamed("x", "y"), "item").where(
-        (F.col("x.comp") < F.col("y.comp")) & near_size("x.n", "y.n")
-    )
-    sharing = sharing.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-    links = links.unionAll(checked(pairs.unionAll(sharing), 3))
+    named = renamed(members.select("bucket", "doc_id", "n", "first", F.col("doc_id").alias("comp")), found[0])
+    opened = open_members(named, 2)
 
-    found = components(links).select(F.col("node").alias("class_id"), "component")
-    named = classes.join(found, "class_id", "left").select("digest", F.coalesce("component", "class_id").alias("component"))
+    def nearest_heads(left: DataFrame) -> DataFrame:
+        """Links of every member with up to 16 others in other components."""
+        pairs = left.where("doc_id <> first").join(heads, "bucket").where(
+            (F.col("comp") != F.col("head.comp")) & can_link("n", "common", "head.n", "head.common")
+        )
+        return checked(pairs.select(F.col("doc_id").alias("a"), F.col("head.doc_id").alias("b")), 2)
+
+    def all_others(left: DataFrame) -> DataFrame:
+        """Links of every pair that is left: those that could be alike by frequent shingles alone, and those that share a
+        rare one."""
+        is_head = heads.select("bucket", F.col("head.doc_id").alias("doc_id"))
+        alike = left.where(F.expr(f"doc_id <> first AND 100 * frequent >= {s.percent} * n"))
+        alike = alike.join(is_head, ["bucket", "doc_id"], "left_anti").select(
+            "bucket", F.struct("doc_id", "n", "frequent", "comp").alias("x")
+        )
+        pairs = alike.join(alike.withColumnRenamed("x", "y"), "bucket").where(
+            (F.col("x.comp") < F.col("y.comp")) & can_link("x.n", "x.frequent", "y.n", "y.frequent")
+        )
+        pairs = pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+        each = left.select("doc_id", "n", "n_rare", "comp").distinct()
+        first = written(_rarest(rare, each, s.percent), f"{store}/rarest")
+        first = first.select("item", F.struct("doc_id", "n", "comp").alias("x"))
+        sharing = first.join(first.withColumnRenamed("x", "y"), "item").where(
+            (F.col("x.comp") < F.col("y.comp")) & near_size("x.n", "y.n")
+        )
+        sharing = sharing.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+        return checked(pairs.unionAll(sharing), 3)
+
+    collect_garbage(spark)
+    if not opened.isEmpty():
+        sets_left = sets.join(opened.select("doc_id").distinct(), "doc_id", "left_semi")
+        rare = written(_rare_items(sets_left, s.rare), f"{store}/rare")
+        counts = rare.groupBy("doc_id").agg(F.count("*").alias("n_rare"), F.count_if(F.col("f") == 1).alias("own"))
+        counts = written(counts, f"{store}/counts")
+        # With n_rare, and how many shingles are common (to two members or more) and frequent.
+        left = opened.join(counts, "doc_id", "left").fillna(0, ["n_rare", "own"])
+        left = left.withColumn("common", F.col("n") - F.col("own")).withColumn("frequent", F.col("n") - F.col("n_rare"))
+        left = written(left, f"{store}/bounded")
+        salt = F.pmod(F.xxhash64("doc_id"), F.lit(s.salts))
+        heads = left.where("doc_id <> first").groupBy("bucket", salt.alias("salt")).agg(
+            F.min(F.struct("own", "doc_id", "n", "common", "comp")).alias("head")
+        )
+        heads = written(heads.select("bucket", "head"), f"{store}/heads")
+        collect_garbage(spark)
+        found.append(joining(nearest_heads(left), left))
+        if found[-1] is not None:
+            left = open_members(renamed(left, found[-1]), 3)
+        if not left.isEmpty():
+            found.append(joining(all_others(left), left))
+
+    named = classes.select("digest", F.col("class_id").alias("comp"))
+    for step in found:
+        named = renamed(named, step)
+    named = named.select("digest", F.col("comp").alias("component"))
     out = table.join(named, (table.digest == named.digest) & (table.n_shingles > 0), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     out = out.select(table.doc_id, "n_shingles", component.alias("component_id")).withColumn(

@@ -39,6 +39,12 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Let go of what finished queries have left: Spark deletes shuffle files and broadcasts, and the driver's heap
+    shrinks, only when the driver has collected the objects that name them. For jobs of many queries."""
+    spark._jvm.System.gc()
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder; none if it is not there."""
     system, place = _file_system(spark, path)

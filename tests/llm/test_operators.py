@@ -63,6 +63,44 @@ def test_components(spark):
     assert named == {3: 2, 4: 2, 5: 2, 9: 8}
 
 
+def test_components_of_stars_take_no_step(spark, monkeypatch):
+    steps, written = [], components.written
+    monkeypatch.setattr(components, "written", lambda df, path: steps.append(path) or written(df, path))
+    for links, named in (([(5, 2), (3, 2), (2, 4), (9, 8)], {3: 2, 4: 2, 5: 2, 9: 8}), ([], {}), ([(None, 2), (7, 7)], {})):
+        steps.clear()
+        got = components.components(spark.createDataFrame(links, "u bigint, v bigint")).collect()
+        assert {r.node: r.component for r in got} == named | {v: v for v in named.values()} and len(got) == len({r.node for r in got})
+        assert len(steps) == 1
+
+
+def test_near_duplicates_connect_only_new_links(spark, monkeypatch):
+    """Links of later steps are between components of the earlier ones; without open buckets there are no later steps."""
+    seen, connect = [], near_dups.components
+
+    def counted(links):
+        seen.append({tuple(sorted(r)) for r in links.collect()})
+        return connect(links)
+
+    monkeypatch.setattr(near_dups, "components", counted)
+    base = [f"w{k}" for k in range(60)]
+    copies = [(9 - k, " ".join([*base[:-1], f"end{k}"])) for k in range(5)]
+    got = near_dups.near_duplicates(spark.createDataFrame(copies, "doc_id bigint, text string")).collect()
+    assert {r.component_id for r in got} == {5} and len(seen) == 1
+    # Chains of edits of texts with a common half, in large buckets: links are found by all steps.
+    seen.clear()
+    rows = {}
+    for group in range(4):
+        text = [f"w{k}" for k in range(40)] + [f"g{group}x{k}" for k in range(40)]
+        for k in range(12):
+            text = [*text[: 75 - 6 * k % 40], f"e{group}x{k}", *text[76 - 6 * k % 40 :]]
+            rows[(37 * (12 * group + k)) % 48] = " ".join(text)
+    table = spark.createDataFrame(list(rows.items()), "doc_id bigint, text string")
+    got = near_dups.near_duplicates(table, near_dups.Settings(rows=1, salts=2)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == samples.near_components(rows, 5, 80)
+    assert len(seen) > 1 and seen[1] and all(u != v for links in seen[1:] for u, v in links)
+    assert not seen[0] & set().union(*seen[1:])
+
+
 def test_language_model(docs, texts):
     got = {r.doc_id: r for r in ngram_lm.score(docs, ngram_lm.train(docs.select("text"))).collect()}
     counts = samples.unigram_counts(list(texts.values()))
